@@ -280,7 +280,8 @@ def warcs_for_logs(
     places = stored.withColumn("_rank", rank).filter("_rank IS NOT NULL").groupBy("name").agg(
         F.min(F.struct("_rank", "path")).alias("best")
     )
-    place = F.element_at(F.array(F.lit("viral"), F.lit("wren"), F.lit("warcs")), F.col("best._rank"))
+    best = F.col("best._rank")
+    place = F.when(best == 1, "viral").when(best == 2, "wren").when(best == 3, "warcs")
     return wanted.join(places, "name", "left").select(
         "name", F.coalesce(place, F.lit("missing")).alias("place"), F.col("best.path").alias("path")
     )

@@ -38,10 +38,11 @@ def pages(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "pages").select("page_id", "url", host.alias("host"))
 
 
-def crawl_log(spark: SparkSession, sf: str) -> DataFrame:
+def crawl_log(spark: SparkSession, sf: str, events: DataFrame | None = None) -> DataFrame:
+    """Log lines of the events table, or of a stream with its columns."""
     n = page_count(spark, sf)
     p = pages(spark, sf)
-    e = table(spark, sf, "events")
+    e = events if events is not None else table(spark, sf, "events")
     m5, m7, m11, m13 = (F.col("event_id") % k for k in (5, 7, 11, 13))
     d14 = F.date_format("ts", _D14)
     joined = (
@@ -90,7 +91,11 @@ def crawl_log(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def listing(spark: SparkSession, sf: str) -> DataFrame:
-    return listing_with_line(spark, sf).drop("line")
+    return listing_with_line(spark, sf).drop("line", "l_orderkey")
+
+
+def listing_with_order(spark: SparkSession, sf: str) -> DataFrame:
+    return listing_with_line(spark, sf).select("filename", "l_orderkey")
 
 
 def listing_with_line(spark: SparkSession, sf: str) -> DataFrame:
@@ -120,6 +125,7 @@ def listing_with_line(spark: SparkSession, sf: str) -> DataFrame:
         (F.col("l_shipdate").cast("timestamp") + F.expr("INTERVAL 36 HOURS")).alias("modified_at"),
         path.alias("filename"),
         line.alias("line"),
+        "l_orderkey",
     )
 
 
@@ -252,3 +258,26 @@ def tracked(spark: SparkSession, sf: str) -> DataFrame:
         F.when(F.col("file_size_l") % 3 == 0, F.array(F.lit("npld-cdx")))
         .when(F.col("file_size_l") % 3 == 1, F.array(F.lit("npld-cdx-v2"), F.lit("other"))).alias("cdx_index_ss"),
     )
+
+
+def crawl_events(spark: SparkSession, sf: str, events: DataFrame | None = None) -> DataFrame:
+    """Crawl-event messages (schemas.CRAWL_EVENT columns used by the stream
+    operators) behind the log lines; other producers' messages lack ``thread``."""
+    log = crawl_log(spark, sf, events)
+    dash = lambda c: F.nullif(c, F.lit("-"))
+    return log.select(
+        "event_id", "ts", "timestamp", "url", F.col("status_code").try_cast("int").alias("status_code"),
+        F.col("mime").alias("mimetype"), F.col("content_length").try_cast("bigint").alias("size"),
+        "start_time_plus_duration", dash(F.col("hop_path")).alias("hop_path"), dash(F.col("via")).alias("via"),
+        F.col("source").alias("seed"), dash(F.col("annotation_string")).alias("annotations"),
+        F.when(F.col("event_id") % 17 != 0, "0").alias("thread"), F.lit("frequent-npld").alias("crawl_name"),
+        F.lit("frequent-npld").alias("job_name"), F.lit("20240101000000").alias("launch_id"), F.col("hash").alias("content_digest"),
+        F.when(F.col("status_code") == "302", dash(F.col("via"))).alias("redirecturl"),
+        F.when(F.col("event_id") % 19 != 0, _cat("w", F.col("user_id") % 20, ".warc.gz")).alias("warc_filename"),
+        (F.col("event_id") * 1000).alias("warc_offset"),
+    )
+
+
+def event_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The events table as a stream source (a glob, since it is a single file)."""
+    return spark.readStream.schema(table(spark, sf, "events").schema).parquet(f"{sf}/event[s].parquet")
