@@ -192,7 +192,7 @@ def _short_lines(spark, sf):
     line = one_word.select(F.concat_ws(" ", *CRAWL_LOG_FIELDS).alias("value"))
     short = F.regexp_replace("value", r"^(\S+ +\S+ +\S+ +\S+) - - ", "$1 ")
     return line.select(F.when(F.col("value").rlike(r"^(\S+ +){4}- - "), short).when(
-        F.col("value").contains(" 404 "), F.regexp_extract("value", r"^((?:\S+ +){8}\S+)", 1)).otherwise(F.col("value")).alias("value"))
+        F.col("value").rlike(r"^\S+ 404 "), F.regexp_extract("value", r"^((?:\S+ +){8}\S+)", 1)).otherwise(F.col("value")).alias("value"))
 
 
 @query("src_2_read_crawl_log_lenient", """
