@@ -102,11 +102,14 @@ def line_stats(log_columns: dict[str, Column] | None = None) -> Column:
         fact("lines", F.lit("")),
         fact("status_code", c["status_code"]),
         fact("content_type", c["mime"]),
-        fact("hop", F.regexp_extract(c["hop_path"], r"(.?)$", 1)),
+        fact("hop", F.right(c["hop_path"], F.lit(1))),
         fact("sum:content_length", c["content_length"]),
     )
     # An annotation that spells a fixed key replaces that fact.
-    fixed = F.filter(fixed, lambda f: ~F.array_contains(annotation_keys, f["key"]))
+    names = F.array(*[F.lit(n) for n in ("lines", "status_code", "content_type", "hop", "sum:content_length")])
+    fixed = F.when(
+        F.arrays_overlap(annotation_keys, names), F.filter(fixed, lambda f: ~F.array_contains(annotation_keys, f["key"]))
+    ).otherwise(fixed)
     return F.concat(fixed, F.transform(annotation_keys, lambda k: fact(k, F.lit(""))))
 
 

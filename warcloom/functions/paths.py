@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -54,7 +56,8 @@ def file_name(path: Column) -> Column:
 
 def file_ext(path: Column) -> Column:
     """From the first dot of the name on; NULL when there is no dot."""
-    return F.nullif(F.regexp_extract(file_name(path), r"^[^.]*(\..*)$", 1), F.lit(""))
+    name = file_name(path)
+    return F.when(name.contains("."), F.substr(name, F.locate(".", name)))
 
 
 def launch_datetime(launch: Column, short_minutes: bool = False) -> Column:
@@ -92,33 +95,36 @@ def refine_kind(kind: Column, collection: Column, name: Column) -> Column:
     )
 
 
+def _fits(path: Column, pattern: str) -> Column:
+    """Pattern test behind a cheap test of its literal start."""
+    start = re.match(r"\^([/_0-9a-z]*)", pattern).group(1)
+    return path.startswith(start) & path.rlike(pattern)
+
+
 def path_facts(path: Column) -> Column:
     """Array of the FACTS of a path, '' where unknown.
 
     Each rule is one match and one rewrite, so a path costs at most one
     rewrite however many facts are read from the array.
     """
-    root = F.regexp_extract(path, "^[^/]*/([^/]*)", 1)
-    stream_layout = F.when(path.rlike(ROOT_RULES[0][0]), F.lit(ROOT_RULES[0][1]))
-    for pattern, known in ROOT_RULES[1:]:
-        stream_layout = stream_layout.when(path.rlike(pattern), F.lit(known))
-    stream_layout = F.split(stream_layout.otherwise(F.lit("||")), r"\|", -1)
-    unmatched = F.concat_ws("|", F.regexp_replace(root, r"\|", " "), stream_layout[1], F.lit("|"), stream_layout[2], F.lit("unknown|false"))
-    facts = None
-    for pattern, template in LAYOUT_RULES:
-        value = F.regexp_replace(path, pattern, template + "|true")
-        facts = F.when(path.rlike(pattern), value) if facts is None else facts.when(path.rlike(pattern), value)
-    return F.split(facts.otherwise(unmatched), r"\|", -1)
+    root = F.element_at(F.split(path, "/", 3), 2)
+    known = F.lit("||")
+    for pattern, value in reversed(ROOT_RULES):
+        known = F.when(_fits(path, pattern), F.lit(value)).otherwise(known)
+    # known is |stream|layout; facts are collection|stream|job|launch|layout|kind|recognised.
+    facts = F.concat(root, F.substring_index(known, "|", 2), F.lit("|||"), F.substring_index(known, "|", -1), F.lit("|unknown|false"))
+    for pattern, template in reversed(LAYOUT_RULES):
+        facts = F.when(_fits(path, pattern), F.regexp_replace(path, pattern, template + "|true")).otherwise(facts)
+    return F.split(facts, r"\|", -1)
 
 
 def facts_struct(facts: Column, path: Column) -> Column:
-    """The struct that classify_path gives, from an array of path_facts."""
+    """Struct of the facts with name and extension; kind not refined yet."""
     f = {name: F.nullif(facts[i], F.lit("")) for i, name in enumerate(FACTS)}
-    kind = F.coalesce(F.lower(f["kind"]), F.lit("unknown"))
     return F.struct(
-        (f["recognised"] == "true").alias("recognised"),
+        (facts[FACTS.index("recognised")] == "true").alias("recognised"),
         *[f[name].alias(name) for name in ("collection", "stream", "job", "launch", "layout")],
-        refine_kind(kind, f["collection"], file_name(path)).alias("kind"),
+        F.coalesce(F.lower(f["kind"]), F.lit("unknown")).alias("kind"),
         file_name(path).alias("file_name"),
         file_ext(path).alias("file_ext"),
     )
@@ -132,7 +138,8 @@ def classify_path(path: Column) -> Column:
     rule keeps that root's layout and stream but takes its first folder as
     collection.
     """
-    return facts_struct(path_facts(path), path)
+    facts = facts_struct(path_facts(path), path)
+    return facts.withField("kind", refine_kind(facts["kind"], facts["collection"], facts["file_name"]))
 
 
 def file_timestamp(modified_at: Column, kind: Column, name: Column, stream: Column, launch_at: Column) -> Column:

@@ -109,26 +109,26 @@ def surt_canonical(url: Column) -> Column:
     ``dns:`` and other schemes without an authority pass through lower-cased.
     Percent-escapes are not rewritten and no session-id patterns are removed.
     """
-    text = F.lower(F.regexp_replace(F.trim(url), r"#.*$", ""))
-    authority = F.regexp_replace(url_netloc(text), r"^[^@]*@", "")
+    text = F.lower(F.substring_index(F.trim(url), "#", 1))
+    authority = F.substring_index(url_netloc(text), "@", -1)
     authority = F.regexp_replace(authority, r"^www[0-9]*\.", "")
-    authority = F.regexp_replace(
-        authority, F.when(text.startswith("https:"), F.lit(r":443$")).otherwise(F.lit(r":80$")), F.lit("")
-    )
-    host = F.regexp_extract(authority, r"^([^:]*)", 1)
-    port = F.regexp_extract(authority, r"(:.*)$", 1)
-    path = F.regexp_replace(F.regexp_extract(text, _PATH, 1), r"/+$", "")
+    default_port = F.when(text.startswith("https:"), F.lit(":443")).otherwise(F.lit(":80"))
+    authority = F.when(F.endswith(authority, default_port), F.substring_index(authority, ":", 1)).otherwise(authority)
+    host = F.substring_index(authority, ":", 1)
+    port = F.substr(authority, F.length(host) + 1)
+    path = F.rtrim(F.regexp_extract(text, _PATH, 1), F.lit("/"))
     path = F.when(path == "", F.lit("/")).otherwise(path)
-    query = F.regexp_extract(text, r"\?(.*)$", 1)
+    query = F.when(text.contains("?"), F.substr(text, F.locate("?", text) + 1)).otherwise(F.lit(""))
     pairs = F.transform(
         F.split(query, "&"),
         lambda arg: F.struct(
-            F.regexp_extract(arg, r"^([^=]*)", 1).alias("name"), F.regexp_extract(arg, r"(=.*)$", 1).alias("value")
+            F.substring_index(arg, "=", 1).alias("name"), F.substr(arg, F.length(F.substring_index(arg, "=", 1)) + 1).alias("value")
         ),
     )
-    ordered = F.array_join(F.transform(F.array_sort(pairs), lambda p: F.concat(p["name"], p["value"])), "&")
+    ordered = F.array_join(F.transform(F.sort_array(pairs), lambda p: F.concat(p["name"], p["value"])), "&")
+    query = F.when(query.contains("&"), ordered).otherwise(query)
     key = F.concat(
-        _reversed_labels(host), port, F.lit(")"), path, F.when(query == "", F.lit("")).otherwise(F.concat(F.lit("?"), ordered))
+        _reversed_labels(host), port, F.lit(")"), path, F.when(query == "", F.lit("")).otherwise(F.concat(F.lit("?"), query))
     )
     return F.when(url_netloc(text) == "", text).otherwise(key)
 
@@ -194,7 +194,7 @@ def seed_variants(seed: Column) -> Column:
 
 
 def basename(path: Column) -> Column:
-    return F.regexp_extract(path, r"([^/]*)$", 1)
+    return F.substring_index(path, "/", -1)
 
 
 def document_filename(url: Column) -> Column:

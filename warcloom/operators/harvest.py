@@ -56,10 +56,11 @@ def watched_prefix_join(log: DataFrame, targets: DataFrame, both: bool = False)
         surt = F.col(f"_{name}_surt")
         return r, (U.surt_host_key(surt) == F.col(f"_{name}_key")) & surt.startswith(F.col(f"_{name}_root"))
 
-    # The SURTs go through a one-element explode so the join conditions reuse them.
-    rows = log.withColumn(
-        "_s", F.explode(F.array(F.struct(U.surt_canonical(F.col("url")).alias("u"), U.surt_canonical(F.col("via")).alias("v"))))
-    ).withColumns({"_url_surt": F.col("_s.u"), "_via_surt": F.col("_s.v")})
+    # Computed once in a projection, then passed through a one-element explode so
+    # that the join conditions refer to them instead of repeating them.
+    rows = log.withColumns({"_u": U.surt_canonical(F.col("url")), "_v": U.surt_canonical(F.col("via"))}).withColumn(
+        "_s", F.explode(F.array(F.struct("_u", "_v")))
+    ).withColumns({"_url_surt": F.col("_s._u"), "_via_surt": F.col("_s._v")})
     url_side, url_match = side("url")
     via_side, via_match = side("via")
     joined = rows.join(url_side, url_match, "left").join(via_side, via_match, "left")

@@ -24,6 +24,8 @@ def classify_listing(listing: DataFrame, keep: list[str] | None = None) -> DataF
         "_c", F.explode(F.array(paths.facts_struct(F.col("_facts"), path)))
     )
     c = F.col("_c")
+    kind = paths.refine_kind(c["kind"], c["collection"], c["file_name"])
+    staged = staged.withColumn("_kind", kind)
     staged = staged.withColumn(
         "launch_datetime", F.when(c["layout"] != "wct", paths.launch_datetime(c["launch"]))
     )
@@ -35,10 +37,10 @@ def classify_listing(listing: DataFrame, keep: list[str] | None = None) -> DataF
         F.col("groupid").alias("group_id"),
         F.col("filesize").alias("file_size"),
         "modified_at",
-        *[c[f].alias(f) for f in _CLASS_FIELDS],
+        *[(F.col("_kind") if f == "kind" else c[f]).alias(f) for f in _CLASS_FIELDS],
         "launch_datetime",
         paths.file_timestamp(
-            F.col("modified_at"), c["kind"], c["file_name"], c["stream"], F.col("launch_datetime")
+            F.col("modified_at"), F.col("_kind"), c["file_name"], c["stream"], F.col("launch_datetime")
         ).alias("timestamp"),
         *(keep or []),
     )

@@ -20,6 +20,13 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all cores when the input is read by fewer tasks than that, as
+    one small file is. Large tables have more splits than cores and stay put."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _s(text: str) -> Column:
     return F.lit(text)
 
@@ -42,7 +49,8 @@ def crawl_log(spark: SparkSession, sf: str, events: DataFrame | None = None) ->
     """Log lines of the events table, or of a stream with its columns."""
     n = page_count(spark, sf)
     p = pages(spark, sf)
-    e = events if events is not None else table(spark, sf, "events")
+    e = events if events is not None else spread(
+        table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "value"))
     m5, m7, m11, m13 = (F.col("event_id") % k for k in (5, 7, 11, 13))
     d14 = F.date_format("ts", _D14)
     joined = (
@@ -116,7 +124,9 @@ def listing_with_line(spark: SparkSession, sf: str) -> DataFrame:
         .when(part % 4 == 2, _cat("/user/ops/notes/n", part, ".txt"))
         .otherwise(_cat("/heritrix/output/logs/weekly/", d14, "/alerts.log"))
     )
-    return table(spark, sf, "lineitem").select(
+    lines = table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_shipdate")
+    return spread(lines).select(
         F.when(part % 97 == 0, "drwxr-xr-x").otherwise("-rw-r--r--").alias("permissions"),
         (1 + line % 3).alias("number_of_replicas"),
         _cat("user", supp % 3).alias("userid"),
