@@ -9,6 +9,8 @@ from ..constants import UK_SECOND_LEVEL, UK_SUFFIXES
 
 _AUTHORITY = r"^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)"
 _HOSTNAME = r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)"
+_BARE_HOST = r"^[a-z][a-z0-9+.\-]*://(?:[^/?#@]*@)?(?:www[0-9]*\.)?([^/?#:]*)"
+_PORT = r"^[a-z][a-z0-9+.\-]*://(?:[^/?#@]*@)?[^/?#:]*(:[0-9]+)"
 _PATH = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?#]*)?([^?#]*)"
 _SAFE_FOR_ACCESS_LIST = r"^[\p{L}\p{N}_ \t\n#':/.\-=?&~%+@,;]*$"
 
@@ -110,27 +112,22 @@ def surt_canonical(url: Column) -> Column:
     Percent-escapes are not rewritten and no session-id patterns are removed.
     """
     text = F.lower(F.substring_index(F.trim(url), "#", 1))
-    authority = F.substring_index(url_netloc(text), "@", -1)
-    authority = F.regexp_replace(authority, r"^www[0-9]*\.", "")
+    host = F.regexp_extract(text, _BARE_HOST, 1)
+    port = F.regexp_extract(text, _PORT, 1)
     default_port = F.when(text.startswith("https:"), F.lit(":443")).otherwise(F.lit(":80"))
-    authority = F.when(F.endswith(authority, default_port), F.substring_index(authority, ":", 1)).otherwise(authority)
-    host = F.substring_index(authority, ":", 1)
-    port = F.substr(authority, F.length(host) + 1)
-    path = F.rtrim(F.regexp_extract(text, _PATH, 1), F.lit("/"))
+    port = F.when(port == default_port, F.lit("")).otherwise(port)
+    path = F.rtrim(F.regexp_extract(text, _AUTHORITY + r"([^?#]*)", 2), F.lit("/"))
     path = F.when(path == "", F.lit("/")).otherwise(path)
-    query = F.when(text.contains("?"), F.substr(text, F.locate("?", text) + 1)).otherwise(F.lit(""))
-    pairs = F.transform(
-        F.split(query, "&"),
-        lambda arg: F.struct(
-            F.substring_index(arg, "=", 1).alias("name"), F.substr(arg, F.length(F.substring_index(arg, "=", 1)) + 1).alias("value")
-        ),
-    )
-    ordered = F.array_join(F.transform(F.sort_array(pairs), lambda p: F.concat(p["name"], p["value"])), "&")
-    query = F.when(query.contains("&"), ordered).otherwise(query)
-    key = F.concat(
-        _reversed_labels(host), port, F.lit(")"), path, F.when(query == "", F.lit("")).otherwise(F.concat(F.lit("?"), query))
+    # The mark sorts below every character, so whole arguments sort by name first.
+    marked = F.regexp_replace(F.substr(text, F.locate("?", text) + 1), r"(^|&)([^=&]*)=", "$1$2\u0001")
+    ordered = F.translate(F.array_join(F.sort_array(F.split(marked, "&")), "&"), "\u0001", "=")
+    query = (
+        F.when(~text.contains("?") | text.endswith("?"), F.lit(""))
+        .when(text.contains("&"), F.concat(F.lit("?"), ordered))
+        .otherwise(F.substr(text, F.locate("?", text)))
     )
-    return F.when(url_netloc(text) == "", text).otherwise(key)
+    key = F.concat(_reversed_labels(host), port, F.lit(")"), path, query)
+    return F.when(text.rlike(_AUTHORITY + "(?<=[^/])"), key).otherwise(text)
 
 
 def surt_host_key(surt: Column) -> Column:
