@@ -55,13 +55,6 @@ def summarise_logs(log: DataFrame) -> DataFrame:
     return line_facts(log).groupBy("day", "host", "source", "property").agg(F.sum("amount").alias("amount"))
 
 
-def summarise_logs_as_map(log: DataFrame) -> DataFrame:
-    """summarise_logs with one map per (day, host, source)."""
-    return summarise_logs(log).groupBy("day", "host", "source").agg(
-        F.map_from_entries(F.collect_list(F.struct("property", "amount"))).alias("totals")
-    )
-
-
 def _with_host_state(log: DataFrame) -> DataFrame:
     live = L.is_live_status(F.col("status_code"))
     dead = L.is_dead_seed_line(F.col("status_code"), F.col("hop_path"), F.col("via"))

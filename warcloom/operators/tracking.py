@@ -63,8 +63,10 @@ def track_query(
 def track_get(records: DataFrame, kind: str, record_id: str) -> DataFrame:
     """The record with that id, or no row unless there is exactly one."""
     found = records.filter((F.col("kind_s") == kind) & (F.col("id") == record_id))
-    single = found.agg(F.count("*").alias("n")).filter("n = 1").select(F.lit(record_id).alias("id"))
-    return found.join(single, "id", "left_semi")
+    return (
+        found.groupBy("id").agg(F.count("*").alias("_n"), F.first(F.struct(*records.columns)).alias("_r"))
+        .filter("_n = 1").select("_r.*")
+    )
 
 
 def recent_tracked(records: DataFrame, now: Column, kinds: list[str] | None = None) -> DataFrame:

@@ -132,6 +132,16 @@ def _read_file(path: str, keep_content: bool) -> Iterator[dict]:
         yield {**empty, "filename": path, "ordinal": ordinal, "offset": offset, "warc_error": f"{type(error).__name__}: {error}"}
 
 
+def _listed(spark: SparkSession, path: str) -> DataFrame:
+    """(path, length) of the files, dealt out evenly over many tasks.
+
+    The partition count is explicit: path rows are tiny, and adaptive execution
+    would otherwise merge them, and with them all the reading, into one task.
+    """
+    tasks = max(4 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return spark.read.format("binaryFile").load(path).select("path", "length").repartition(tasks)
+
+
 def read_warc_records(spark: SparkSession, path: str, keep_content: bool = False, types: list[str] | None = None) -> DataFrame:
     """Records of all WARCs under a path (glob allowed).
 
@@ -154,9 +164,7 @@ def read_warc_records(spark: SparkSession, path: str, keep_content: bool = False
         if rows:
             yield _frame(rows, names)
 
-    files = spark.read.format("binaryFile").load(path).select("path", "length")
-    # Large files first and one row per slot keeps tasks even.
-    records = files.repartition("path").select("path").mapInPandas(read, schema)
+    records = _listed(spark, path).select("path").mapInPandas(read, schema)
     if types is not None:
         records = records.filter(F.col("rec_type").isin(types) | F.col("warc_error").isNotNull())
     return records
@@ -193,5 +201,4 @@ def file_hashes(spark: SparkSession, path: str) -> DataFrame:
                 out.append(sha.hexdigest())
             yield batch.assign(sha512=out)
 
-    files = spark.read.format("binaryFile").load(path).select("path", "length")
-    return files.repartition("path").mapInPandas(digest, "path string, length long, sha512 string")
+    return _listed(spark, path).mapInPandas(digest, "path string, length long, sha512 string")
