@@ -246,11 +246,11 @@ _KINDS = ["warcs", "crawl-logs", "viral", "logs", "cdx", "dlx", "warcs-invalid",
 
 
 def _pivot_sql(agg):
-    cols = ", ".join(f"{agg} FILTER (WHERE kind = '{k}') AS \"{k}\"" for k in _KINDS)
+    cols = ", ".join(f"CAST({agg} FILTER (WHERE kind = '{k}') AS BIGINT) AS \"{k}\"" for k in _KINDS)
     return f"SELECT collection, stream, CAST(year(file_ts) AS INTEGER) AS year, {cols} FROM fx_files WHERE kind <> 'to-be-deleted' AND collection IS NOT NULL AND stream IS NOT NULL GROUP BY ALL"
 
 
-@query("ag_6_holdings_by_stream", _pivot_sql("CAST(sum(file_size) AS BIGINT)").replace("CAST(sum(file_size) AS BIGINT) FILTER", "sum(file_size) FILTER"))
+@query("ag_6_holdings_by_stream", _pivot_sql("sum(file_size)"))
 def ag_6(spark, sf):
     return ops.holdings_by_stream(fx.files(spark, sf), "size")
 
@@ -288,7 +288,7 @@ _YEARS = list(range(1992, 2004))
 
 
 @query("ag_10_collection_by_year", "SELECT collection, " + ", ".join(
-    f"sum(file_size) FILTER (WHERE year(file_ts) = {y}) AS \"{y}\"" for y in _YEARS) + " FROM fx_files WHERE collection IS NOT NULL GROUP BY collection")
+    f"CAST(sum(file_size) FILTER (WHERE year(file_ts) = {y}) AS BIGINT) AS \"{y}\"" for y in _YEARS) + " FROM fx_files WHERE collection IS NOT NULL GROUP BY collection")
 def ag_10(spark, sf):
     return ops.collection_by_year(fx.files(spark, sf), _YEARS)
 
