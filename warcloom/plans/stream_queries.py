@@ -115,3 +115,34 @@ def sr_8(spark, sf):
     stream = spark.readStream.option("maxFilesPerTrigger", 2).text(f"{base}/input")
     parsed = _finish(spark, parse_crawl_log(stream).select("status_code"), "parsed-logs")
     return parsed.groupBy("status_code").agg(F.count("*").alias("n"))
+
+
+@query("sr_2_bounded_run", "SELECT event_id, status_code FROM fx_log")
+def sr_2(spark, sf):
+    """Everything there is, in triggers of one file each, then stop."""
+    base = _folder(spark, "bounded")
+    fx.crawl_log(spark, sf).select("event_id", "status_code").repartition(5).write.parquet(f"{base}/input")
+    stream = spark.readStream.schema("event_id long, status_code string").option("maxFilesPerTrigger", 1).parquet(f"{base}/input")
+    return _finish(spark, stream, "bounded-run")
+
+
+@query("sr_3_offset_tracking", "SELECT event_id, status_code FROM fx_log")
+def sr_3(spark, sf):
+    """Two runs on one progress folder with input added in between: the second
+    run only handles what is new."""
+    base = _folder(spark, "offsets")
+    log = fx.crawl_log(spark, sf).select("event_id", "status_code")
+    for part in (log.filter("status_code = '200'"), log.filter("status_code <> '200'")):
+        part.write.mode("append").parquet(f"{base}/input")
+        stream = spark.readStream.schema(log.schema).parquet(f"{base}/input")
+        run_available(stream, f"{base}/progress", path=f"{base}/table")
+    return spark.read.schema(log.schema).parquet(f"{base}/table")
+
+
+@query("snk_3_write_cdx", 'SELECT urlkey, timestamp, original, "offset", filename FROM fx_cdx')
+def snk_3(spark, sf):
+    from ..sources.cdx import write_cdx
+
+    base = _folder(spark, "cdx-table")
+    write_cdx(fx.cdx(spark, sf), base, buckets=16)
+    return spark.read.parquet(base).select("urlkey", "timestamp", "original", "offset", "filename")
