@@ -87,19 +87,22 @@ def sr_7(spark, sf):
 
 
 @query("sr_5_stream_launch_check", """
-WITH c AS (SELECT url, date_trunc('second', ts) AS captured FROM fx_log WHERE url LIKE 'http%'), e AS (SELECT max(ts) AS t FROM fx_log)
+WITH c AS (SELECT url, date_trunc('second', ts) AS captured FROM fx_log WHERE url LIKE 'http%'), e AS (SELECT least((SELECT max(ts) FROM fx_log), (SELECT max(launch_ts) FROM fx_launches)) AS t)
 SELECT launch_no, min(captured) IS NOT NULL AS captured, strftime(min(captured), '%Y%m%d%H%M%S') AS captured_at
 FROM fx_launches l LEFT JOIN c ON c.url = l.url AND captured BETWEEN launch_ts AND launch_ts + INTERVAL 12 HOUR
 WHERE launch_ts < (SELECT date_trunc('day', t) - INTERVAL 1 DAY FROM e) GROUP BY launch_no""")
 def sr_5(spark, sf):
-    """Launches whose wait ended well before the end of the data."""
+    """Launches whose wait ended well before the end of both streams; the
+    watermark, and with it the output, follows the stream that ends first."""
     base = _folder(spark, "launch-input")
     fx.launches(spark, sf).write.parquet(f"{base}/launches")
     raw = spark.readStream.schema(spark.read.parquet(f"{base}/launches").schema).parquet(f"{base}/launches")
     captures = fx.crawl_log(spark, sf, fx.event_stream(spark, sf)).filter("url LIKE 'http%'").select(
         "url", F.date_trunc("second", F.col("ts").cast("timestamp")).alias("captured_at"))
     done = _finish(spark, ops.launch_check(raw, captures), "launches")
-    end = fx.table(spark, sf, "events").agg(F.date_trunc("day", F.max("ts").cast("timestamp")).alias("t")).scalar()
+    last_event = fx.table(spark, sf, "events").agg(F.max("ts").cast("timestamp").alias("t")).scalar()
+    last_launch = fx.launches(spark, sf).agg(F.max("launch_ts").alias("t")).scalar()
+    end = F.date_trunc("day", F.least(last_event, last_launch))
     return done.filter(F.col("launch_ts") < end - F.expr("INTERVAL 1 DAY")).select(
         "launch_no", (F.col("outcome") == "CAPTURED").alias("captured"), F.date_format("captured_at", "yyyyMMddHHmmss").alias("captured_at"))
 
