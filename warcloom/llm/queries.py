@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import toxicity
+from . import ngram_join, toxicity
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,3 +35,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity.score(docs, model)
     return scored.select(
         "doc_id", _held_out().alias("held_out"), "score", "predicted", F.size("segments").cast("long").alias("n_segments"))
+
+
+@query("op5_ngram_jaccard_join")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicate_components(table(spark, sf_dir, "documents"))
