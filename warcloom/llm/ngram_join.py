@@ -30,15 +30,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..session import cut_lineage
 from .common import mix64
-from .components import components, first_labels
+from .components import components
 from .shingles import set_name, shingle_sets
 
 #: Shingles a task holds before it reports the frequent ones among them.
 _COUNT_BLOCK = 4_000_000
-#: Bits of the filter that keeps texts without any candidate out of the verification shuffle.
+#: Bits of the filters that keep shingles and texts without any candidate out of the shuffles.
 _FILTER_BITS = 26
 
 
@@ -105,8 +106,11 @@ def _group_name(prefix: np.ndarray, n: int) -> int:
     return int(mix64(total).view(np.int64)[0])
 
 
-def _postings(batches: Iterator[pa.RecordBatch], order: _Order) -> Iterator[pa.RecordBatch]:
-    """A row per prefix shingle. The first of a text also names its class, the others say 0."""
+def _postings(batches: Iterator[pa.RecordBatch], order: _Order, wanted: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+    """A row per prefix shingle that passes the bit filter, if there is one.
+
+    The first row of a text, which no filter removes, also names its class; the others say 0.
+    """
     for batch in batches:
         parts, groups, sizes, places, classes, held = [], [], [], [], [], 0
 
@@ -123,12 +127,18 @@ def _postings(batches: Iterator[pa.RecordBatch], order: _Order) -> Iterator[pa.R
             if not len(s):
                 continue
             prefix = order.prefix(s)
-            parts.append(prefix)
             groups.append(_group_name(prefix, len(s)))
             sizes.append(len(s))
-            places.append(np.arange(len(prefix), dtype=np.int64))
+            kept = np.arange(len(prefix), dtype=np.int64)
+            if wanted is not None:
+                passed = _passed(wanted, prefix)
+                passed[0] |= passed.any()
+                kept = kept[passed]
+            prefix = prefix[kept]
+            parts.append(prefix)
+            places.append(kept)
             names = np.zeros(len(prefix), np.int64)
-            names[0] = set_name(s)
+            names[kept == 0] = set_name(s)
             classes.append(names)
             held += len(prefix)
             if held > 200_000:
@@ -147,8 +157,7 @@ def _members(batches: Iterator[pa.RecordBatch], order: _Order, wanted: np.ndarra
             if not len(s):
                 continue
             group = _group_name(order.prefix(s), len(s))
-            slot = _slot(np.array([group], np.int64))[0]
-            if not (int(wanted[slot >> np.uint64(6)]) >> int(slot & np.uint64(63))) & 1:
+            if not _passed(wanted, np.array([group], np.int64).view(np.uint64))[0]:
                 continue
             name = set_name(s)
             if name not in seen:  # copies within the batch are one class
@@ -162,14 +171,15 @@ def _members(batches: Iterator[pa.RecordBatch], order: _Order, wanted: np.ndarra
             })
 
 
-def _slot(groups: np.ndarray) -> np.ndarray:
-    return groups.view(np.uint64) >> np.uint64(64 - _FILTER_BITS)
+def _passed(bits: np.ndarray, names: np.ndarray) -> np.ndarray:
+    slot = names >> np.uint64(64 - _FILTER_BITS)
+    return (bits[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
-def _bit_filter(groups: DataFrame) -> np.ndarray:
-    """Bitmap of the group names, 8 MB whatever their number; false positives are removed by a join."""
+def _bit_filter(names: DataFrame, column: str) -> np.ndarray:
+    """Bitmap of 64-bit names, 8 MB whatever their number. False positives only cost work."""
     words = (
-        groups.select(F.shiftrightunsigned("grp", 64 - _FILTER_BITS).alias("slot"))
+        names.select(F.shiftrightunsigned(column, 64 - _FILTER_BITS).alias("slot"))
         .groupBy(F.shiftright("slot", 6).alias("word"))
         .agg(F.bit_or(F.expr("shiftleft(1L, CAST(slot & 63 AS INT))")).alias("bits"))
         .toPandas()  # at most 2^20 rows
@@ -233,11 +243,16 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = survey.where("n IS NOT NULL").select("id", "n", "cls")
     order = spark.sparkContext.broadcast(_Order(_frequent(survey, texts.count())))
 
-    postings = plain.select("text").mapInArrow(
-        lambda it: _postings(it, order.value), "shingle long, grp long, n long, pos long, cls long")
-    shared = postings.groupBy("shingle").agg(F.count("*").alias("_texts")).where("_texts > 1").select("shingle")
+    def postings(wanted) -> DataFrame:
+        return plain.select("text").mapInArrow(
+            lambda it: _postings(it, order.value, wanted.value if wanted else None),
+            "shingle long, grp long, n long, pos long, cls long")
+
+    shared = cut_lineage(
+        postings(None).groupBy("shingle").agg(F.count("*").alias("_texts")).where("_texts > 1").select("shingle"))
+    bits = spark.sparkContext.broadcast(_bit_filter(shared, "shingle"))
     lists = cut_lineage(
-        postings.join(shared, "shingle", "left_semi")
+        postings(bits).join(shared, "shingle", "left_semi")
         .groupBy("shingle", "grp", "n", "pos").agg(F.min("cls").alias("low"), F.max("cls").alias("high"))
     )
     several = lists.where("pos = 0 AND low <> high").select("grp").distinct()
@@ -251,11 +266,11 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
     def sets_of(groups: DataFrame) -> DataFrame:
-        groups = groups.distinct()
-        bits = spark.sparkContext.broadcast(_bit_filter(groups))
+        """(group, class, size, set) of every class of the groups, and of a few others that pass the filter."""
+        bits = spark.sparkContext.broadcast(_bit_filter(groups, "grp"))
         rows = plain.select("text").mapInArrow(
             lambda it: _members(it, order.value, bits.value), "grp long, cls long, n long, shingles binary")
-        return cut_lineage(rows.join(groups, "grp", "left_semi").dropDuplicates(["cls"]))
+        return cut_lineage(rows.dropDuplicates(["cls"]))
 
     members = sets_of(star.select("g").union(star.select("h")).union(several).toDF("grp"))
     heads = members.groupBy("grp").agg(F.min("cls").alias("head"))
@@ -266,7 +281,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = cut_lineage(_verify(pairs, members))
 
     # What is left: pairs from different components, in lists that hold more than one.
-    labels = first_labels(links)
+    labels = components(links)
     named = (
         members.select("grp", "cls").join(labels.toDF("cls", "label"), "cls", "left")
         .select("grp", F.coalesce("label", "cls").alias("label")).distinct()
@@ -293,6 +308,12 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return texts, cut_lineage(links.union(_verify(across.union(within), more)))
 
 
+def _named(texts: DataFrame, links: DataFrame) -> DataFrame:
+    """(id, n, cls, component) of the texts with words."""
+    return texts.where("n > 0").join(components(links).toDF("cls", "component"), "cls", "left").select(
+        "id", "n", "cls", F.coalesce("component", "cls").alias("component"))
+
+
 def near_duplicate_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id) per text; component_id is the least id reachable by links.
 
@@ -300,9 +321,43 @@ def near_duplicate_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     component unless no member has an id. Texts without words are their own component.
     """
     texts, links = jaccard_classes(docs, id_col, text_col)
-    named = texts.where("n > 0").join(components(links).toDF("cls", "component"), "cls", "left").select(
-        "id", "n", F.coalesce("component", "cls").alias("component"))
+    named = _named(texts, links)
     least = named.groupBy("component").agg(F.min("id").alias("component_id"))
     joined = named.join(least, "component").select("id", "n", "component_id")
     alone = texts.where("n = 0").select("id", "n", F.col("id").alias("component_id"))
     return joined.union(alone).select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
+
+
+def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each component: the one with the least id.
+
+    Of rows that repeat with one id and equal sets one stays. Texts without
+    words are linked with nothing and all stay. Columns are unchanged; none may
+    be named _cls.
+    """
+    texts, links = jaccard_classes(docs, id_col, text_col)
+    named = _named(texts, links)
+    best = named.groupBy("component").agg(F.min(F.struct(F.isnull("id").alias("none"), "id", "cls")).alias("best"))
+    judged = cut_lineage(
+        named.join(best, "component").groupBy("id", "cls")
+        .agg(F.count("*").alias("rows"), F.first(F.col("id").eqNullSafe(F.col("best.id")) & (F.col("cls") == F.col("best.cls"))).alias("stays"))
+    )
+    names = list(docs.columns)
+
+    def name_classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            classes = [set_name(s) if len(s) else None for s in shingle_sets(batch.column(text_col).to_pylist())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(classes, pa.int64())], [*names, "_cls"])
+
+    marked = docs.mapInArrow(name_classes, StructType([*docs.schema.fields]).add("_cls", "long"))
+
+    def matches(rows: DataFrame) -> Column:
+        return F.col(id_col).cast("long").eqNullSafe(rows["_id"]) & (F.col("_cls") == rows["_name"])
+
+    gone = judged.where("NOT stays").select(F.col("id").alias("_id"), F.col("cls").alias("_name"))
+    kept = marked.join(gone, matches(gone), "left_anti")
+    again = judged.where("stays AND rows > 1").select(F.col("id").alias("_id"), F.col("cls").alias("_name"))
+    if again.isEmpty():
+        return kept.select(*names)
+    single = kept.join(again, matches(again), "left_anti").select(*names)
+    return single.union(kept.join(again, matches(again), "left_semi").dropDuplicates([id_col, "_cls"]).select(*names))
