@@ -24,3 +24,10 @@ def mix64(x: np.ndarray) -> np.ndarray:
 def shared_folder(spark: SparkSession) -> str:
     """The checkpoint folder, which driver and executors share."""
     return ensure_checkpoint_dir(spark)
+
+
+def tokenizer_path(name: str) -> str:
+    """Place of a public vocabulary file; the same on driver and executors."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
