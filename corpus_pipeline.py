@@ -1,13 +1,19 @@
-"""Training-corpus pipeline: stages over the documents table, each written and read again."""
+"""Training-corpus pipeline: stages over the documents table, each written and read again.
+
+Every stage works on all that its predecessor kept and returns the columns of
+documents, except the last, which returns where each piece of each document
+lies in the packed sequences.
+"""
 
 from __future__ import annotations
 
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from warcloom.llm import toxicity
-from warcloom.llm.common import shared_folder, table
+from warcloom.llm import decontaminate, ngram_join, packing, pii, toxicity
+from warcloom.llm.common import shared_folder, table, tokenizer_path
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -16,8 +22,33 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model, docs.columns).where("predicted = 0").select(*docs.columns)
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked documents stays: the one with the least id."""
+    return ngram_join.one_per_component(docs)
+
+
+def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark passage go."""
+    return decontaminate.drop_leaked(docs, table(spark, sf_dir, "benchmark"))
+
+
+def sanitise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data and the terms that disclose it are generalised; n_chars follows the text."""
+    clean = pii.sanitise(docs)
+    return clean.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else clean
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of at most 2048 tokens and their places in the sequences."""
+    return packing.pack(docs, tokenizer_path("word_bpe_49k.json"))
+
+
 STAGES = [
     ("toxicity", drop_toxic),
+    ("ngram_jaccard_join", drop_near_copies),
+    ("benchmark_decontamination", drop_benchmark),
+    ("pii", sanitise),
+    ("best_fit_packing", pack),
 ]
 
 #: Learned scores and packing have no SQL form; tests/llm compares with brute force.
@@ -25,7 +56,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to documents; each result is a Parquet folder under the shared folder."""
+    """Apply the stages to documents; each result is a Parquet folder in the shared folder."""
     folder = f"{shared_folder(spark)}/corpus-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
     for number, (name, stage) in enumerate(STAGES):
