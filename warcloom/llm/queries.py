@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, ngram_join, packing, pii, toxicity
+from . import decontaminate, ngram_join, packing, pii, token_counts, toxicity
 from .common import table, tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +62,12 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_benchmark_decontamination")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op9_token_counts")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = token_counts.with_token_counts(docs, tokenizer_path("byte_bpe_50k.json"))
+    return counted.select(
+        "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), "n_tokens",
+        (F.col("n_tokens") > 1024).alias("over_limit"))
