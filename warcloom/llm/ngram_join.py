@@ -2,11 +2,13 @@
 
 Texts with equal shingle sets form a class. In a fixed order of all shingles
 (ordinary ones by hash, then frequent ones by rising frequency) two sets of
-similarity 0.8 share a shingle in their prefixes: the first
-n - ceil(4n/5) + 1 shingles of the larger and n - ceil(8n/9) + 1 of the
-smaller. Classes with identical prefix and size form a group; groups meet in
-the posting list of a prefix shingle, group pairs are filtered by size and
-position, then expanded to their classes, which are verified on whole sets.
+sizes n and m and similarity 0.8 share at least a = ceil(4 (n + m) / 9)
+shingles, so at least k of their first n - a + k and m - a + k. Prefixes are
+long enough for k = 1 + n // 16, which tells near copies from texts that only
+share a passage. Classes with identical prefix and size form a group; groups
+meet in the posting lists of prefix shingles, group pairs are filtered by size,
+position and number of lists, then expanded to their classes, which are
+verified on whole sets.
 
 No posting list is multiplied with itself. First each group meets one pivot,
 the group in which the shingle comes earliest; whatever that links becomes
@@ -88,7 +90,7 @@ class _Order:
         self.rank[np.lexsort((self.frequent, counts[by_value]))] = np.arange(len(rows))
 
     def prefix(self, s: np.ndarray) -> np.ndarray:
-        need = len(s) - (4 * len(s) + 4) // 5 + 1
+        need = len(s) - (4 * len(s) + 4) // 5 + 1 + len(s) // 16
         if not len(self.frequent):
             return s[:need]
         at = np.minimum(np.searchsorted(self.frequent, s), len(self.frequent) - 1)
@@ -212,13 +214,16 @@ def _verify(pairs: DataFrame, members: DataFrame) -> DataFrame:
     return wide.mapInArrow(_linked, "a long, b long")
 
 
+def _common(n1: Column, n2: Column) -> Column:
+    """How many prefix shingles a pair of these sizes must share."""
+    return 1 + F.floor(F.least(n1, n2) / 16)
+
+
 def _passes(n1: Column, p1: Column, n2: Column, p2: Column) -> Column:
-    """Size, prefix and position filter for two postings of one shingle."""
-    small, large = F.least(n1, n2), F.greatest(n1, n2)
-    small_place = F.when(n1 < n2, p1).when(n2 < n1, p2).otherwise(F.least(p1, p2))
-    index_length = small - F.floor((8 * small + 8) / 9) + 1
+    """Size and position filter for two postings of one shingle."""
     needed = F.floor((4 * (n1 + n2) + 8) / 9)
-    return (5 * small >= 4 * large) & (small_place < index_length) & (F.least(n1 - p1, n2 - p2) >= needed)
+    return (5 * F.least(n1, n2) >= 4 * F.greatest(n1, n2)) & (
+        F.least(n1 - p1, n2 - p2) > needed - _common(n1, n2))
 
 
 def _frequent(survey: DataFrame, texts: int) -> list[tuple[int, int]]:
@@ -259,10 +264,12 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     meeting = lists.groupBy("shingle").agg(
         F.min(F.struct("pos", "n", "grp")).alias("pivot"), F.min("grp").alias("first"), F.max("grp").alias("last")
     ).where("first <> last").select("shingle", "pivot")
+    # Pairs with a pivot are a choice of what to try first; the rest follows below.
     star = cut_lineage(
         lists.join(meeting, "shingle").where("grp <> pivot.grp")
         .where(_passes(F.col("n"), F.col("pos"), F.col("pivot.n"), F.col("pivot.pos")))
-        .select(F.col("grp").alias("g"), F.col("pivot.grp").alias("h")).distinct()
+        .groupBy(F.col("grp").alias("g"), F.col("pivot.grp").alias("h"), "n", F.col("pivot.n").alias("m"))
+        .agg(F.count("*").alias("lists")).where(F.col("lists") >= _common(F.col("n"), F.col("m"))).select("g", "h")
     )
 
     def sets_of(groups: DataFrame) -> DataFrame:
@@ -293,7 +300,8 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rest = cut_lineage(
         left.join(right, "shingle").where("grp < grp2 AND label <> label2")
         .where(_passes(F.col("n"), F.col("pos"), F.col("n2"), F.col("pos2")))
-        .select(F.col("grp").alias("g"), F.col("grp2").alias("h")).distinct()
+        .groupBy(F.col("grp").alias("g"), F.col("grp2").alias("h"), "n", "n2")
+        .agg(F.count("*").alias("lists")).where(F.col("lists") >= _common(F.col("n"), F.col("n2"))).select("g", "h")
         .join(star.select(F.least("g", "h").alias("g"), F.greatest("g", "h").alias("h"))
               .join(several.toDF("g"), "g", "left_anti").join(several.toDF("h"), "h", "left_anti").distinct(),
               ["g", "h"], "left_anti")
