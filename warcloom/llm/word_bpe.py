@@ -2,9 +2,9 @@
 
 The tokenizer normalises (composition, white space, lower case), splits into
 words and merges inside each word only. A text made of common Latin characters
-is split here by the same rule and each distinct word is encoded once by the
-library; any other text, and one that may hold a special token, goes to the
-library whole.
+is split here by the same rule and each distinct word is merged once by the
+library's model; any other text, and one that may hold a special token, goes to
+the library whole.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ _WORD = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_DIGIT}]|[^{_SPACE}
 #: Anything outside these is left to the library; so are special tokens, which start with "<|",
 #: and capital I with a dot, which lower-cases to two characters.
 _OTHER = re.compile("[^\u0000-\u001b -įı-ſ]|<\\|")
-MAX_WORDS = 400_000
+MAX_WORDS = 800_000
 
 
 class WordBpe(dict):
@@ -37,6 +37,11 @@ class WordBpe(dict):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        self.model = self.library.model
+        # The printable stand-ins of bytes, as the byte-level step writes them.
+        kept = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        shifted = iter(range(256, 512))
+        self.letters = [chr(b) if b in kept else chr(next(shifted)) for b in range(256)]
 
     @classmethod
     def shared(cls, path: str) -> WordBpe:
@@ -51,7 +56,9 @@ class WordBpe(dict):
     def __missing__(self, word: str) -> bytes:
         if len(self) >= MAX_WORDS:
             self.clear()
-        ids = self._library(word)
+        letters = self.letters
+        pieces = self.model.tokenize("".join([letters[b] for b in word.encode()]))
+        ids = np.array([p.id for p in pieces], "<u4").tobytes()
         if len(word) <= 64:
             self[word] = ids
         return ids
