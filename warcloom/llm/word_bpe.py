@@ -58,7 +58,7 @@ class WordBpe(dict):
             self.clear()
         letters = self.letters
         pieces = self.model.tokenize("".join([letters[b] for b in word.encode()]))
-        ids = np.array([p.id for p in pieces], "<u4").tobytes()
+        ids = b"".join([p.id.to_bytes(4, "little") for p in pieces])
         if len(word) <= 64:
             self[word] = ids
         return ids
