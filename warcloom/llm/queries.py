@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, ngram_join, packing, pii, token_counts, toxicity
+from . import decontaminate, ngram_join, packing, pii, sharding, token_counts, topk_products, toxicity, url_filter
 from .common import table, tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +71,28 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select(
         "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), "n_tokens",
         (F.col("n_tokens") > 1024).alias("over_limit"))
+
+
+@query("op2_exact_topk")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_products.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+#: The rules as given.
+URL_RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+
+
+@query("op6_url_filter")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.verdicts(pages, URL_RULES).drop("url")
+
+
+@query("op8_sharding")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    dealt = sharding.deal(sharding.external_shuffle(docs), 8)
+    return dealt.select(
+        "doc_id", sharding.record_size(F.col("text")).alias("size"),
+        F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"))
