@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, ngram_join, packing, pii, sharding, token_counts, topk_products, toxicity, url_filter
+from . import decontaminate, ngram_join, packing, pii, secrets, sharding, token_counts, topk_products, toxicity, url_filter
 from .common import table, tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,3 +96,21 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", sharding.record_size(F.col("text")).alias("size"),
         F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op7_secret_scan")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.scan(docs, secrets.fit(docs))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    def listed(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["stop"].cast("string"))), ",")
+
+    everything = F.array_sort(F.transform(F.concat("base", "added"), lambda s: F.struct(
+        s["start"].alias("start"), F.array_position(F.array(*map(F.lit, (*secrets.KINDS, "learned"))), s["kind"]).alias("rank"),
+        s["stop"].alias("stop"), s["kind"].alias("kind"))))
+    return found.select(
+        "doc_id", *[count(k) for k in secrets.KINDS], F.sha2(listed(F.col("base")), 256).alias("base_sha256"), listed(everything).alias("spans"))
