@@ -160,7 +160,7 @@ def index_rows(spark):
 
 def test_cdx_table_and_remote_sink(spark, tmp_path):
     rows = index_rows(spark)
-    seen = cdx.write_cdx(rows, str(tmp_path / "cdx"), buckets=4)
+    seen = cdx.write_cdx(rows, str(tmp_path / "cdx"), "b1", buckets=4)
     assert seen.get["total_sent_record_count"] == 2
     assert spark.read.parquet(str(tmp_path / "cdx")).filter("length IS NULL").count() == 1
     assert cdx.send_cdx(rows, lambda batch: True, batch=1) == 2

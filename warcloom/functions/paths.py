@@ -107,7 +107,7 @@ def path_facts(path: Column) -> Column:
     Each rule is one match and one rewrite, so a path costs at most one
     rewrite however many facts are read from the array.
     """
-    root = F.element_at(F.split(path, "/", 3), 2)
+    root = F.try_element_at(F.split(path, "/", 3), F.lit(2))
     known = F.lit("||")
     for pattern, value in reversed(ROOT_RULES):
         known = F.when(_fits(path, pattern), F.lit(value)).otherwise(known)

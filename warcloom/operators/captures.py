@@ -51,13 +51,14 @@ def first_last_capture(cdx: DataFrame, position: str = "offset") -> DataFrame:
     return cdx.groupBy("filename").agg(F.min_by(label, position).alias("first_url_ts"), F.max_by(label, position).alias("last_url_ts"))
 
 
-def captures(cdx: DataFrame, url: str, limit: int = 25, reverse: bool = True, revisits: bool = True) -> DataFrame:
-    """Captures of one URL, newest first unless ``reverse`` is off."""
+def captures(cdx: DataFrame, url: str, limit: int | None = None, reverse: bool = True, revisits: bool = True) -> DataFrame:
+    """Captures of one URL, newest first unless ``reverse`` is off; all unless a limit is given."""
     rows = cdx.filter(F.col("original") == url)
     if not revisits:
         rows = rows.filter(F.col("mimetype") != REVISIT_MIME)
     order = F.desc("timestamp") if reverse else F.asc("timestamp")
-    return rows.orderBy(order, "filename", "offset").limit(limit)
+    rows = rows.orderBy(order, "filename", "offset")
+    return rows if limit is None else rows.limit(limit)
 
 
 def capture_dates(cdx: DataFrame, url: str) -> DataFrame:
@@ -105,8 +106,10 @@ def http_responses(records: DataFrame) -> DataFrame:
     return records.filter((F.col("rec_type") == "response") & F.col("content_type").contains("application/http"))
 
 
-def indexable_record(records: DataFrame, max_url: int = 2000) -> DataFrame:
-    return http_responses(records).filter(F.length("target_uri") <= max_url)
+def indexable_record(records: DataFrame, max_url: int | None = None) -> DataFrame:
+    """Response records; those with a longer URL than ``max_url`` are left out if one is given."""
+    found = http_responses(records)
+    return found if max_url is None else found.filter(F.length("target_uri") <= max_url)
 
 
 def warc_host_status(records: DataFrame) -> DataFrame:

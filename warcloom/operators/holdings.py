@@ -157,14 +157,21 @@ def npld_totals(files: DataFrame) -> DataFrame:
     )
 
 
-def collection_by_year(files: DataFrame, years: list[int] | None = None) -> DataFrame:
-    """Collection rows by year columns; without ``years`` they are looked up first."""
+def size_by_collection_and_year(files: DataFrame) -> DataFrame:
+    """Total size per collection and year, every year that occurs (NULL where the date is unknown)."""
     return (
-        files.filter(F.col("collection").isNotNull()).withColumn("_year", F.year("timestamp"))
-        .groupBy("collection").pivot("_year", years).agg(F.sum("file_size"))
+        files.filter(F.col("collection").isNotNull()).groupBy("collection", F.year("timestamp").alias("year"))
+        .agg(F.sum("file_size").alias("file_size"))
     )
 
 
+def collection_by_year(files: DataFrame, years: list[int] | None = None) -> DataFrame:
+    """The same as a table with a column per year; without ``years`` they are
+    looked up first, with ``years`` the others are not shown."""
+    sizes = size_by_collection_and_year(files)
+    return sizes.groupBy("collection").pivot("year", years).agg(F.sum("file_size"))
+
+
 def duplicate_files(files: DataFrame, name: Column | None = None) -> DataFrame:
     """Names stored at more than one place, with how many."""
     key = name if name is not None else U.basename(F.col("file_path"))

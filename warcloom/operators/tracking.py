@@ -44,9 +44,9 @@ def field_filter(records: DataFrame, field: str, value: str) -> Column:
 def track_query(
     records: DataFrame, kind: str, service: str | None = None, stream: str | None = None, year: int | None = None,
     modified_after: Column | None = None, that_day: bool = False, field: str | None = None, value: str | None = None,
-    sort: list[Column] | None = None, limit: int | None = 100,
+    sort: list[Column] | None = None, limit: int | None = None,
 ) -> DataFrame:
-    """All given conditions must hold; newest first, 100 rows by default."""
+    """All given conditions must hold; newest first, all rows unless a limit is given."""
     out = records.filter(F.col("kind_s") == kind)
     for column, wanted in (("hdfs_service_id_s", service), ("stream_s", stream), ("year_i", year)):
         if wanted is not None:
@@ -76,13 +76,13 @@ def recent_tracked(records: DataFrame, now: Column, kinds: list[str] | None = No
 
 
 def not_yet_indexed(records: DataFrame, status_field: str, collection: str, kind: str = "warcs", stream: str | None = None,
-                    modified_after: Column | None = None, limit: int | None = 100) -> DataFrame:
+                    modified_after: Column | None = None, limit: int | None = None) -> DataFrame:
     return track_query(records, kind, stream=stream, modified_after=modified_after, field=f"-{status_field}",
                        value=f"{collection}*", limit=limit)
 
 
 def warcs_for_dates(records: DataFrame, start: str, end: str, stream: str, status_field: str, status_value: str,
-                    kind: str = "warcs", limit: int | None = 1000) -> DataFrame:
+                    kind: str = "warcs", limit: int | None = None) -> DataFrame:
     """Paths of a kind and stream dated from start to end day, both whole, that
     do not carry the status yet."""
     day = F.to_date("timestamp_dt")
@@ -149,13 +149,21 @@ def refused(imported: DataFrame) -> DataFrame:
     return imported.filter("import_error IS NOT NULL")
 
 
+def refused_updates(base: DataFrame, updates: DataFrame) -> DataFrame:
+    """Updates that name a field the base does not have, or none. The version
+    field, which the store keeps for itself, is not reported."""
+    known = [f for f in base.columns if f != "id"] + ["_version_"]
+    return updates.filter(F.col("field").isNull() | ~F.col("field").isin(known))
+
+
 def apply_updates(base: DataFrame, updates: DataFrame) -> DataFrame:
     """Base records with field updates applied; unknown ids become records.
 
     updates: id, field, action (set, add-distinct, remove, inc), value (text),
     seq. A later ``set`` replaces what came before, an empty one clears the
     field; of several adds and removes of one value the last counts. Updates
-    of the version field are ignored.
+    of fields the base does not have are not applied; ``refused_updates`` lists
+    them.
 
     Updates are reduced per (id, field, value) first, so a busy record sends
     its distinct values, not every update.

@@ -91,7 +91,7 @@ def _a_url(spark, sf):
 
 
 @query("wn_3_captures", """
-SELECT timestamp, original, "offset" FROM fx_cdx WHERE original = (SELECT url FROM pages WHERE page_id = 2) ORDER BY timestamp DESC, filename, "offset" LIMIT 25""")
+SELECT timestamp, original, "offset" FROM fx_cdx WHERE original = (SELECT url FROM pages WHERE page_id = 2)""")
 def wn_3(spark, sf):
     return ops.captures(fx.cdx(spark, sf), _a_url(spark, sf)).select("timestamp", "original", "offset")
 
@@ -166,7 +166,8 @@ def jn_24(spark, sf):
 
 @query("jn_25_nearest_capture", """
 WITH seen AS (SELECT original, timestamp, filename, "offset" AS o FROM fx_cdx),
-nxt AS (SELECT l.launch_no, min((s.timestamp, s.filename, s.o)) AS v FROM fx_launches l JOIN seen s ON s.original = l.url AND s.timestamp >= strftime(l.launch_ts, '%Y%m%d%H%M%S') GROUP BY 1),
+first_row AS (SELECT original, timestamp, min((timestamp, filename, o)) AS v FROM seen GROUP BY 1, 2),
+nxt AS (SELECT l.launch_no, s.v FROM (SELECT launch_no, url, strftime(launch_ts, '%Y%m%d%H%M%S') AS ts FROM fx_launches) l ASOF JOIN first_row s ON s.original = l.url AND s.timestamp >= l.ts),
 lst AS (SELECT original, max((timestamp, filename, o)) AS v FROM seen GROUP BY 1)
 SELECT l.launch_no, l.url, coalesce(n.v, lst.v)[1] AS timestamp, coalesce(n.v, lst.v)[2] AS filename, coalesce(n.v, lst.v)[3] AS "offset"
 FROM fx_launches l LEFT JOIN nxt n USING (launch_no) LEFT JOIN lst ON lst.original = l.url""")

@@ -284,13 +284,12 @@ def ag_9(spark, sf):
     return ops.npld_totals(fx.files(spark, sf))
 
 
-_YEARS = list(range(1992, 2004))
 
 
-@query("ag_10_collection_by_year", "SELECT collection, " + ", ".join(
-    f"CAST(sum(file_size) FILTER (WHERE year(file_ts) = {y}) AS BIGINT) AS \"{y}\"" for y in _YEARS) + " FROM fx_files WHERE collection IS NOT NULL GROUP BY collection")
+@query("ag_10_collection_by_year", """
+SELECT collection, CAST(year(file_ts) AS INTEGER) AS year, CAST(sum(file_size) AS BIGINT) AS file_size FROM fx_files WHERE collection IS NOT NULL GROUP BY ALL""")
 def ag_10(spark, sf):
-    return ops.collection_by_year(fx.files(spark, sf), _YEARS)
+    return ops.size_by_collection_and_year(fx.files(spark, sf))
 
 
 @query("ag_11_duplicate_files", """

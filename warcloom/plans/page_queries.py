@@ -26,7 +26,7 @@ def tx_7(spark, sf):
 
 
 @query("tx_1_landing_page_title", f"""
-WITH hit AS (SELECT {_ROOT} || l.href AS document_url, url AS landing_page_url, n, l.href FROM {_NAV} l WHERE n <= 2
+WITH hit AS (SELECT {_ROOT} || l.href AS document_url, url AS landing_page_url, n, l.href FROM {_NAV} l
   UNION ALL SELECT 'http://nowhere.example/' || page_id, url, 99, NULL FROM pages),
  first_link AS (SELECT DISTINCT h.document_url, h.landing_page_url, (SELECT min(n) FROM {_NAV} k WHERE k.url = h.landing_page_url AND contains(regexp_extract(k.url, '^(https?://[^/?#]+)', 1) || k.href, h.document_url)) AS m FROM hit h)
 SELECT f.document_url, f.landing_page_url, CASE WHEN f.m IS NOT NULL THEN substr(k.href, 2)
@@ -35,7 +35,7 @@ FROM first_link f JOIN pages p ON p.url = f.landing_page_url LEFT JOIN {_NAV} k
 def tx_1(spark, sf):
     p = _html(spark, sf)
     root = F.regexp_extract("url", "^(https?://[^/?#]+)", 1)
-    hrefs = F.slice(F.regexp_extract_all("html", F.lit('<a href="([^"]*)"'), 1), 1, 2)
+    hrefs = F.regexp_extract_all("html", F.lit('<a href="([^"]*)"'), 1)
     linked = p.select(F.col("url").alias("landing_page_url"), root.alias("root"), F.explode(hrefs).alias("href")).select(
         F.concat("root", "href").alias("document_url"), "landing_page_url")
     absent = p.select(F.concat(F.lit("http://nowhere.example/"), F.col("page_id").cast("string")).alias("document_url"), F.col("url").alias("landing_page_url"))
@@ -124,10 +124,11 @@ def fn_35(spark, sf):
 
 
 @query("tx_8_record_metadata", """
-SELECT "offset", '{"original":"' || original || '","timestamp":"' || timestamp || '"}' AS value FROM fx_cdx""")
+SELECT '{"original":"' || original || '","timestamp":"' || timestamp || '","offset":' || "offset" || '}' AS value FROM fx_cdx""")
 def tx_8(spark, sf):
-    c = fx.cdx(spark, sf).select("original", "timestamp", "offset")
-    return c.select("offset", "original", "timestamp").withColumn("value", F.to_json(F.struct("original", "timestamp"))).select("offset", "value")
+    c = fx.cdx(spark, sf)
+    records = c.select("original", "timestamp", "offset", F.encode(F.col("mimetype"), "UTF-8").alias("content"))
+    return pages.record_metadata(records)
 
 
 @query("tx_9_search_documents")
@@ -238,3 +239,19 @@ def src_14(spark, sf):
 def snk_1(spark, sf):
     counts = fx.crawl_log(spark, sf).groupBy("status_code").agg(F.count("*").alias("n"))
     return sinks.tsv_json(counts, ["status_code"])
+
+
+@query("src_6_rejected_cdx11", """SELECT 10 AS n_fields, original || ' a b c d e f g h i' AS value FROM fx_cdx""")
+def src_6_rejected(spark, sf):
+    from ..functions.cdx import cdx_line
+
+    good = fx.cdx(spark, sf).select(cdx_line().alias("value"))
+    short = fx.cdx(spark, sf).select(F.concat("original", F.lit(" a b c d e f g h i")).alias("value"))
+    return cdx_source.rejected_cdx11(good.unionByName(short))
+
+
+@query("src_14_rejected_manifest_lines", """SELECT 'no digest ' || filename AS value FROM fx_listing""")
+def src_14_rejected(spark, sf):
+    listing = fx.listing(spark, sf)
+    good = listing.select(F.concat(F.lit("/"), F.lit("\t"), F.sha2("filename", 256), F.lit(" 1 "), "filename").alias("value"))
+    return packages.rejected_manifest_lines(good.unionByName(listing.select(F.concat(F.lit("no digest "), "filename").alias("value"))))

@@ -22,16 +22,15 @@ _NOT_INDEXED = "NOT coalesce(list_has_any(cdx_index_ss, ['npld-cdx', 'npld-cdx-v
 
 @query("fl_1_track_query", f"""
 SELECT id, stream_s, file_size_l FROM fx_tracked WHERE kind_s = 'warcs' AND stream_s = 'frequent' AND year_i = 1996 AND {_NOT_INDEXED}
-ORDER BY timestamp_dt DESC, id LIMIT 100""")
+""")
 def fl_1(spark, sf):
     return ops.track_query(fx.tracked(spark, sf), "warcs", stream="frequent", year=1996, field="-cdx_index_ss", value="npld-cdx*").select(
         "id", "stream_s", "file_size_l")
 
 
-@query("fl_1_track_unset", "SELECT id FROM fx_tracked WHERE kind_s = 'warcs-invalid' AND cdx_index_ss IS NULL AND job_s = 'job_1'")
+@query("fl_1_track_unset", "SELECT id FROM fx_tracked WHERE kind_s = 'warcs-invalid' AND cdx_index_ss IS NULL")
 def fl_1u(spark, sf):
-    t = fx.tracked(spark, sf).filter("job_s = 'job_1'")
-    return ops.track_query(t, "warcs-invalid", field="cdx_index_ss", value="_NONE_", limit=None).select("id")
+    return ops.track_query(fx.tracked(spark, sf), "warcs-invalid", field="cdx_index_ss", value="_NONE_").select("id")
 
 
 @query("fl_2_track_get", "SELECT id, kind_s FROM fx_tracked WHERE id = (SELECT min(id) FROM fx_tracked WHERE kind_s = 'cdx') AND kind_s = 'cdx'")
@@ -67,14 +66,14 @@ def fl_24p(spark, sf):
     return ops.delete_preview(fx.tracked(spark, sf), "job_s", values)
 
 
-@query("jn_6_not_yet_indexed", f"SELECT id FROM fx_tracked WHERE kind_s = 'warcs' AND {_NOT_INDEXED} ORDER BY timestamp_dt DESC, id LIMIT 100")
+@query("jn_6_not_yet_indexed", f"SELECT id FROM fx_tracked WHERE kind_s = 'warcs' AND {_NOT_INDEXED}")
 def jn_6(spark, sf):
     return ops.not_yet_indexed(fx.tracked(spark, sf), "cdx_index_ss", "npld-cdx").select("id")
 
 
 @query("st_6_warcs_for_dates", """
 SELECT file_path_s FROM fx_tracked WHERE kind_s = 'warcs' AND stream_s = 'frequent' AND CAST(timestamp_dt AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1996-06-30'
-  AND NOT coalesce(list_contains(cdx_index_ss, 'npld-cdx'), false) ORDER BY timestamp_dt, file_path_s LIMIT 1000""")
+  AND NOT coalesce(list_contains(cdx_index_ss, 'npld-cdx'), false)""")
 def st_6(spark, sf):
     return ops.warcs_for_dates(fx.tracked(spark, sf), "1996-01-01", "1996-06-30", "frequent", "cdx_index_ss", "npld-cdx")
 
@@ -125,6 +124,16 @@ def snk_5(spark, sf):
     return ops.apply_updates(base, _updates(spark, sf)).withColumn("tags_ss", F.coalesce(F.array_join(F.array_sort("tags_ss"), " "), F.lit("")))
 
 
+@query("snk_5_refused_updates", "SELECT 'order:' || l_orderkey AS id, 'new_s' AS field, l_returnflag AS value FROM lineitem")
+def snk_5_refused(spark, sf):
+    base = fx.table(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("id"), F.col("o_orderstatus").alias("status_s"))
+    known = _updates(spark, sf).filter("field = 'status_s'")
+    unknown = fx.table(spark, sf, "lineitem").select(
+        F.concat(F.lit("order:"), F.col("l_orderkey").cast("string")).alias("id"), F.lit("new_s").alias("field"), F.lit("set").alias("action"),
+        F.col("l_returnflag").alias("value"), F.col("l_linenumber").cast("bigint").alias("seq"))
+    return ops.refused_updates(base, known.select("id", "field", "action", "value", "seq").unionByName(unknown)).select("id", "field", "value")
+
+
 @query("snk_6_import_records", """
 SELECT CASE WHEN l_orderkey % 7 = 0 THEN NULL WHEN k = 5 THEN filename ELSE 'hdfs://' || filename END AS id, 'warcs' AS kind_s,
        CASE WHEN l_orderkey % 7 = 0 THEN 'id missing' WHEN k = 5 THEN 'id is not a store id' END AS import_error FROM fx_listing""")
@@ -198,7 +207,7 @@ def _unindexed_cdx(spark, sf):
 
 
 @query("wf_1_index_batch", f"""
-WITH items AS (SELECT id, file_path_s FROM fx_tracked WHERE kind_s = 'warcs' AND {_NOT_INDEXED} ORDER BY timestamp_dt DESC, id LIMIT 100)
+WITH items AS (SELECT id, file_path_s FROM fx_tracked WHERE kind_s = 'warcs' AND {_NOT_INDEXED})
 SELECT i.id, 'npld-cdx' AS status, count(*) FILTER (WHERE file_size % 5 <> 0) AS warc_record_count, CAST(coalesce(sum(file_size) FILTER (WHERE file_size % 5 <> 0), 0) AS BIGINT) AS warc_record_bytes,
   count(*) FILTER (WHERE file_size % 5 = 0) AS malformed_status_count
 FROM items i JOIN fx_files f ON f.file_path = i.file_path_s AND f.kind = 'warcs' GROUP BY i.id""")

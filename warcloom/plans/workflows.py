@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import captures, harvest, holdings, logs, tracking
+from ..session import cut_lineage
 
 
-def index_batch(tracked: DataFrame, cdx: DataFrame, collection: str, batch_size: int = 100, status_field: str = "cdx_index_ss",
+def index_batch(tracked: DataFrame, cdx: DataFrame, collection: str, batch_size: int | None = None, status_field: str = "cdx_index_ss",
                 stream: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Pick WARCs not indexed yet, measure them from their index rows and mark
     them. Returns the updated items and the status updates (for
@@ -22,8 +22,8 @@ def index_batch(tracked: DataFrame, cdx: DataFrame, collection: str, batch_size:
 
 
 def log_analysis_run(log: DataFrame, targets: DataFrame, day: str, job_name: str | None = None) -> dict[str, DataFrame]:
-    """Summaries, documents and seed results of one day from one parse."""
-    lines = log.filter(F.col("timestamp").startswith(day)).persist(StorageLevel.MEMORY_AND_DISK)
+    """Summaries, documents and seed results of one day from one parse, which is checkpointed."""
+    lines = cut_lineage(log.filter(F.col("timestamp").startswith(day)))
     return {
         "summary": logs.summarise_logs(lines),
         "documents": harvest.document_candidates(lines, targets, job_name),

@@ -55,18 +55,27 @@ def read_sip_ark_map(spark: SparkSession, path: str, resolve_prefix: str) -> Dat
     )
 
 
+# The two manifest line forms.
+_MANIFEST = {"tsv": r"^([^\t]*)\t([0-9a-fA-F]+) ([0-9]+) (.*\S)\s*$", "star": r"^([0-9a-fA-F]+) \*(.*\S)\s*$"}
+
+
+def rejected_manifest_lines(lines: DataFrame, fmt: str = "tsv", value: str = "value") -> DataFrame:
+    """Lines of a manifest that do not have the form; blank lines are not reported."""
+    return lines.filter(~F.col(value).rlike(_MANIFEST[fmt]) & (F.btrim(value) != "")).select(F.col(value).alias("value"))
+
+
 def parse_hash_manifest(lines: DataFrame, fmt: str = "tsv", value: str = "value") -> DataFrame:
     """``tsv``: folder, tab, "sha512 length path". ``star``: "sha512 *path".
     Rows carry kind viral, warcs or logs by path."""
     v = F.col(value)
     if fmt == "tsv":
-        pattern = r"^([^\t]*)\t([0-9a-fA-F]+) ([0-9]+) (.*\S)\s*$"
+        pattern = _MANIFEST[fmt]
         rows = lines.filter(v.rlike(pattern)).select(
             F.regexp_extract(v, pattern, 2).alias("sha512"), F.regexp_extract(v, pattern, 3).cast("bigint").alias("length"),
             F.regexp_extract(v, pattern, 4).alias("path"),
         )
     elif fmt == "star":
-        pattern = r"^([0-9a-fA-F]+) \*(.*\S)\s*$"
+        pattern = _MANIFEST[fmt]
         rows = lines.filter(v.rlike(pattern)).select(
             F.regexp_extract(v, pattern, 1).alias("sha512"), F.lit(None).cast("bigint").alias("length"),
             F.regexp_extract(v, pattern, 2).alias("path"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,8 +33,10 @@ def append_new(existing_path: str, incoming: DataFrame, key: str, order: list) -
     spark = incoming.sparkSession
     try:
         existing = spark.read.schema(incoming.schema).parquet(existing_path)
-    except Exception:  # first run: nothing stored yet
-        existing = incoming.limit(0)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        existing = incoming.limit(0)  # first run: nothing stored yet
     fresh = cut_lineage(upsert_ignore(existing, incoming, key, order))
     fresh.write.mode("append").parquet(existing_path)
     return fresh.count()
