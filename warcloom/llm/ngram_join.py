@@ -16,10 +16,11 @@ one component, and lists that hold a single component are done. Only pairs from
 different components are tried after that, so a large family of near copies
 costs one comparison per member while no link between components is lost.
 
-Frequent shingles only steer the order, never the result. They are counted
-over all texts: each task reports those in at least 1/2048 of its texts, and a
-shingle reported for 1/1024 of all texts is frequent, so there are at most
-2048 times the mean set size of them and the table can be broadcast.
+Frequent shingles only steer the order, never the result: pairs that share no
+more than a common passage then have no prefix shingle in common. They are
+counted over all texts; each task reports what at least two of its texts hold.
+The table of at most ``_MOST_FREQUENT`` of them (16 bytes each, by falling count)
+is broadcast; a frequent shingle beyond it is ordered like any other.
 
 Shingles and sets are named by 64-bit hashes.
 """
@@ -41,6 +42,8 @@ from .shingles import set_name, shingle_sets
 
 #: Shingles a task holds before it reports the frequent ones among them.
 _COUNT_BLOCK = 4_000_000
+_MOST_FREQUENT = 1_000_000
+_FREQUENT_FROM = 8
 #: Bits of the filters that keep shingles and texts without any candidate out of the shuffles.
 _FILTER_BITS = 26
 
@@ -53,7 +56,7 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def frequent() -> pa.RecordBatch:
         nonlocal held, size
         values, counts = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, np.uint64),) * 2
-        often = counts >= max(2, len(held) // 2048)
+        often = counts >= 2
         held, size = [], 0
         k = int(often.sum())
         return pa.record_batch({
@@ -81,13 +84,12 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class _Order:
     """Prefixes under the global order; ``frequent`` is sorted, ``rank`` orders it by frequency."""
 
-    def __init__(self, rows: list[tuple[int, int]]):
-        values = np.array([r[0] for r in rows], np.int64).view(np.uint64)
-        counts = np.array([r[1] for r in rows], np.int64)
+    def __init__(self, shingles: np.ndarray, counts: np.ndarray):
+        values = shingles.view(np.uint64)
         by_value = np.argsort(values)
         self.frequent = values[by_value]
-        self.rank = np.empty(len(rows), np.int64)
-        self.rank[np.lexsort((self.frequent, counts[by_value]))] = np.arange(len(rows))
+        self.rank = np.empty(len(values), np.int64)
+        self.rank[np.lexsort((self.frequent, counts[by_value]))] = np.arange(len(values))
 
     def prefix(self, s: np.ndarray) -> np.ndarray:
         need = len(s) - (4 * len(s) + 4) // 5 + 1 + len(s) // 16
@@ -226,12 +228,12 @@ def _passes(n1: Column, p1: Column, n2: Column, p2: Column) -> Column:
         F.least(n1 - p1, n2 - p2) > needed - _common(n1, n2))
 
 
-def _frequent(survey: DataFrame, texts: int) -> list[tuple[int, int]]:
+def _frequent(survey: DataFrame) -> _Order:
     rows = (
         survey.where("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("seen").alias("seen"))
-        .where(F.col("seen") >= max(32, texts // 1024)).collect()
+        .where(F.col("seen") >= _FREQUENT_FROM).orderBy(F.desc("seen"), "shingle").limit(_MOST_FREQUENT).toPandas()
     )
-    return [(r["shingle"], r["seen"]) for r in rows]
+    return _Order(rows["shingle"].to_numpy(np.int64), rows["seen"].to_numpy(np.int64))
 
 
 def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -246,7 +248,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     survey = cut_lineage(plain.mapInArrow(_survey, "id long, n long, cls long, shingle long, seen long"))
     texts = survey.where("n IS NOT NULL").select("id", "n", "cls")
-    order = spark.sparkContext.broadcast(_Order(_frequent(survey, texts.count())))
+    order = spark.sparkContext.broadcast(_frequent(survey))
 
     def postings(wanted) -> DataFrame:
         return plain.select("text").mapInArrow(
