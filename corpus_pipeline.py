@@ -19,7 +19,7 @@ from warcloom.llm.common import shared_folder, table, tokenizer_path
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model rejects go."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model, docs.columns).where("predicted = 0").select(*docs.columns)
+    return toxicity.drop_predicted(docs, model)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

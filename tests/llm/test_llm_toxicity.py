@@ -58,10 +58,12 @@ def test_held_out_accuracy(spark):
 def test_awkward_rows(spark):
     rows = [(1, None), (2, ""), (3, "x" * 200_000), (4, "bad"), (4, "bad"), (None, "bad"), (5, "word " * 50_000)]
     model = T.SegmentModel({"bad": 3.0}, -0.2, 1.0, 0.1, [(0.0, 0.01), (1.0, 0.9)])
-    got = T.score(docs(spark, rows).drop("score"), model, ["doc_id", "label", "base"]).collect()
+    got = T.score(docs(spark, rows), model, ["label", "score", "doc_id", "base"]).collect()
     assert len(got) == len(rows) and all(0 <= r.score <= 1 for r in got)
     assert {r.score for r in got if r.doc_id in (1, 2)} == {0.01}
     assert T.score(plain(spark, []), model).count() == 0
+    kept = T.drop_predicted(docs(spark, rows), model)
+    assert kept.columns == docs(spark, []).columns and sorted(str(r.doc_id) for r in kept.collect()) == ["1", "2", "3", "5"]
 
 
 def test_no_labels_scores_zero(spark):

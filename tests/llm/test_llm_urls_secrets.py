@@ -36,7 +36,7 @@ URLS = ["http://EXAMPLE.net/en/x", "https://a.b.example.net/en/", "http://exampl
 
 
 def test_rules_and_parts(spark):
-    pages = spark.createDataFrame([(i, u, "clash") for i, u in enumerate(URLS * 2)], "page_id long, url string, label string")
+    pages = spark.createDataFrame([(i, u, "clash", 1, "h") for i, u in enumerate(URLS * 2)], "page_id long, url string, label string, labels int, host string")
     rows = U.verdicts(pages, URL_RULES).collect()
     assert len(rows) == len(URLS) * 2
     for r in rows:
@@ -92,7 +92,7 @@ SECRETS = ["Token = 'abcdef' token: abc", "API_KEY=\"x/y+z==\" apikey:ABCDEFG pa
 
 def test_base_findings(spark):
     rows = list(enumerate(SECRETS)) + [(0, SECRETS[0])]
-    for r in S.scan(docs(spark, rows).drop("base"), None).collect():
+    for r in S.scan(docs(spark, rows), None).collect():
         assert [(s.kind, s.start, s.stop) for s in r.base] == base(r.text or "") and not r.added
 
 

@@ -189,8 +189,8 @@ def find(docs: DataFrame, threshold: float = 0.9, support: int = 3, reach: int =
     """``docs`` plus ``base`` and ``added``, lists of spans in code points.
 
     Null text counts as empty and has no span. Rows are neither merged nor
-    dropped, and repeated rows get equal spans. Input columns may not be named
-    base, added, _key or _terms.
+    dropped, and repeated rows get equal spans. Input columns named base or added
+    are replaced; none may be named _key or _terms.
     """
     based = docs.withColumn("base", base_spans(F.col("text")))
     # Texts with entities are few; they are kept so that the counts need not search again.
@@ -231,6 +231,7 @@ def sanitised(text: Column, spans: Column, action: str = "generalise") -> Column
 
 
 def sanitise(docs: DataFrame, action: str = "generalise", **options) -> DataFrame:
-    """``docs`` with personal data and the terms that disclose it replaced in ``text``."""
-    found = find(docs, **options)
-    return found.withColumn("text", sanitised(F.col("text"), F.concat("base", "added"), action)).select(*docs.columns)
+    """``docs`` with personal data and the terms that disclose it replaced in ``text``; other columns stay."""
+    packed = docs.select(F.struct(*docs.columns).alias("_row"), "text")
+    clean = sanitised(F.col("text"), F.concat("base", "added"), action)
+    return find(packed, **options).select(*[clean.alias(c) if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns])

@@ -45,9 +45,10 @@ def external_shuffle(
 
     The shuffle depends on the seed, the ids, the texts and the number of
     buckets only, not on how the input is split. Null ids and texts are
-    ordinary values; repeated rows each get a place. Columns named _bucket,
-    _crc or position may not be in the input.
+    ordinary values; repeated rows each get a place. An input column named
+    position is replaced; none may be named _bucket, _crc or _place.
     """
+    docs = docs.drop("position")
     total = docs.agg(F.sum(record_size(F.col(text_col)))).first()[0] or 0
     buckets = max(1, -(-total // bucket_bytes))
     # The content joins the hash so that rows sharing an id are scattered too.
@@ -76,7 +77,7 @@ def external_shuffle(
 
 
 def deal(shuffled: DataFrame, shards: int = 8) -> DataFrame:
-    """Adds ``shard`` and ``slot`` (gapless from 0 in each shard) to shuffled rows."""
+    """Adds ``shard`` and ``slot`` (gapless from 0 in each shard) to shuffled rows, in place of columns so named."""
     return shuffled.withColumn("shard", (F.col("position") % shards).cast("int")).withColumn(
         "slot", F.floor(F.col("position") / shards).cast("long")).drop("position")
 

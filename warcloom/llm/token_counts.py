@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 _CHUNK = 256
 _TAIL = 32
@@ -411,9 +412,9 @@ class TokenCounter:
 
 
 def with_token_counts(docs: DataFrame, path: str, text_col: str = "text", name: str = "n_tokens") -> DataFrame:
-    """``docs`` plus the number of tokens of its text; null and empty texts have 0. Rows stay as they are."""
-    from pyspark.sql.types import StructType
-
+    """``docs`` plus the number of tokens of its text; null and empty texts have 0. Rows stay as they
+    are; an input column of that name is replaced."""
+    docs = docs.drop(name)
     names = list(docs.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -279,10 +279,11 @@ def score(docs: DataFrame, model: SegmentModel, keep: list[str] | None = None) -
     ``segments`` lists (first token, last token, score, e_value) of the passages
     rarer than one expected by chance. Null and empty texts have no token, no
     segment and the score of zero evidence. Rows are neither merged nor dropped.
+    A kept column with the name of a result is replaced by it.
     """
-    keep = keep or ["doc_id"]
+    keep = [c for c in keep or ["doc_id"] if c not in ("score", "predicted", "segments")]
     held = docs.sparkSession.sparkContext.broadcast(model)
-    kept = [f for f in docs.schema.fields if f.name in keep]
+    kept = [docs.schema[c] for c in keep]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: SegmentModel = held.value
@@ -306,3 +307,16 @@ def score(docs: DataFrame, model: SegmentModel, keep: list[str] | None = None) -
     )
     plain = docs.select(*keep, F.col("text").alias("_toxicity_text"))
     return plain.mapInArrow(run, schema)
+
+
+def drop_predicted(docs: DataFrame, model: SegmentModel) -> DataFrame:
+    """``docs`` without the rows predicted toxic; columns and other rows stay as they are."""
+    held = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m: SegmentModel = held.value
+        for batch in batches:
+            clean = [m.probability(evidence(m, *segments_of(m, t))) < 0.5 for t in batch.column("text").to_pylist()]
+            yield batch.filter(pa.array(clean, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -129,15 +129,17 @@ def verdicts(pages: DataFrame, rules: list[tuple[str, str]], model: UrlModel | N
 
     The rule's verdict where one fits, else the model's (block from one half).
     Without a model, it is fitted on the URLs that a rule decides. A null url has
-    empty host and path and is judged on empty text. Rows are neither merged nor dropped.
+    empty host and path and is judged on empty text. Rows are neither merged nor
+    dropped; input columns with the name of a result are replaced.
     """
-    base = lexical(pages, url_col)
+    base = lexical(pages.select(F.struct(*pages.columns).alias("_row"), F.col(url_col).alias("url")))
     rule, decision = matching_rule(F.col("host"), F.col("path"), rules)
     judged = base.withColumn("rule", rule).withColumn("_decision", decision)
     if model is None:
         model = fit(judged.where(F.col("_decision").isNotNull()).select(
-            F.col(url_col).alias("url"), (F.col("_decision") == "block").cast("int").alias("label")))
+            "url", (F.col("_decision") == "block").cast("int").alias("label")))
     scored = model.probability(judged)
     learned = F.when(F.col("block_probability") >= 0.5, "block").otherwise("allow")
+    results = ["host", "path", "rule", "verdict", "block_probability"]
     return scored.withColumn("verdict", F.coalesce("_decision", learned)).select(
-        *pages.columns, "host", "path", "rule", "verdict", "block_probability")
+        *[F.col("_row")[c].alias(c) for c in pages.columns if c not in results], *results)
