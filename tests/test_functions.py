@@ -203,3 +203,11 @@ def test_annotation_that_spells_a_fixed_key_replaces_it(spark):
     row = spark.createDataFrame([("200", "text/html", "L", "5", ["lines", "hop"])], "status_code string, mime string, hop_path string, content_length string, annotations array<string>")
     facts = {f.key: f.value for f in row.select(L.line_stats().alias("f")).first().f}
     assert facts["hop"] == "" and facts["lines"] == "" and facts["status_code"] == "200"
+
+
+def test_path_with_bar_or_without_folders(spark):
+    from warcloom.functions.paths import classify_path
+
+    rows = spark.createDataFrame([("/a|b/c",), ("name",), ("",), ("/x/y.warc.gz",)], "path string").select(classify_path(F.col("path")).alias("f"))
+    got = [r.f for r in rows.collect()]
+    assert [(g.collection, g.stream, g.recognised) for g in got] == [("a|b", None, False), (None, None, False), (None, None, False), ("x", None, False)]

@@ -101,18 +101,23 @@ def _fits(path: Column, pattern: str) -> Column:
     return path.startswith(start) & path.rlike(pattern)
 
 
+_BAR = "\x1f"
+
+
 def path_facts(path: Column) -> Column:
     """Array of the FACTS of a path, '' where unknown.
 
     Each rule is one match and one rewrite, so a path costs at most one
-    rewrite however many facts are read from the array.
+    rewrite however many facts are read from the array. A ``|`` in the path
+    stands as ``_BAR`` in the array, where ``|`` separates the facts.
     """
+    path = F.translate(path, "|", _BAR)
     root = F.try_element_at(F.split(path, "/", 3), F.lit(2))
     known = F.lit("||")
     for pattern, value in reversed(ROOT_RULES):
         known = F.when(_fits(path, pattern), F.lit(value)).otherwise(known)
     # known is |stream|layout; facts are collection|stream|job|launch|layout|kind|recognised.
-    facts = F.concat(root, F.substring_index(known, "|", 2), F.lit("|||"), F.substring_index(known, "|", -1), F.lit("|unknown|false"))
+    facts = F.concat(F.coalesce(root, F.lit("")), F.substring_index(known, "|", 2), F.lit("|||"), F.substring_index(known, "|", -1), F.lit("|unknown|false"))
     for pattern, template in reversed(LAYOUT_RULES):
         facts = F.when(_fits(path, pattern), F.regexp_replace(path, pattern, template + "|true")).otherwise(facts)
     return F.split(facts, r"\|", -1)
@@ -120,7 +125,7 @@ def path_facts(path: Column) -> Column:
 
 def facts_struct(facts: Column, path: Column) -> Column:
     """Struct of the facts with name and extension; kind not refined yet."""
-    f = {name: F.nullif(facts[i], F.lit("")) for i, name in enumerate(FACTS)}
+    f = {name: F.nullif(F.translate(facts[i], _BAR, "|"), F.lit("")) for i, name in enumerate(FACTS)}
     return F.struct(
         (facts[FACTS.index("recognised")] == "true").alias("recognised"),
         *[f[name].alias(name) for name in ("collection", "stream", "job", "launch", "layout")],
