@@ -221,9 +221,14 @@ def _common(n1: Column, n2: Column) -> Column:
     return 1 + F.floor(F.least(n1, n2) / 16)
 
 
+def _overlap(n1: Column, n2: Column) -> Column:
+    """The least number of common shingles at which sets of these sizes link."""
+    return F.floor((4 * (n1 + n2) + 8) / 9)
+
+
 def _passes(n1: Column, p1: Column, n2: Column, p2: Column) -> Column:
     """Size and position filter for two postings of one shingle."""
-    needed = F.floor((4 * (n1 + n2) + 8) / 9)
+    needed = _overlap(n1, n2)
     return (5 * F.least(n1, n2) >= 4 * F.greatest(n1, n2)) & (
         F.least(n1 - p1, n2 - p2) > needed - _common(n1, n2))
 
@@ -298,10 +303,15 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     open_lists = lists.join(named, "grp", "left").select("shingle", "grp", "n", "pos", F.coalesce("label", "grp").alias("label"))
     mixed = open_lists.groupBy("shingle").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("shingle")
     left = open_lists.join(mixed, "shingle", "left_semi")
-    right = left.toDF("shingle", "grp2", "n2", "pos2", "label2")
+    # The first shingle that two linked groups share lies in both prefixes, so in one of these lists:
+    # a group shares no more with another than what follows its first place in them.
+    rooms = left.groupBy("grp").agg((F.max("n") - F.min("pos")).alias("room"))
+    left = left.join(rooms, "grp").select("shingle", "grp", "n", "pos", "label", "room")
+    right = left.toDF("shingle", "grp2", "n2", "pos2", "label2", "room2")
     rest = cut_lineage(
         left.join(right, "shingle").where("grp < grp2 AND label <> label2")
         .where(_passes(F.col("n"), F.col("pos"), F.col("n2"), F.col("pos2")))
+        .where(F.least("room", "room2") >= _overlap(F.col("n"), F.col("n2")))
         .groupBy(F.col("grp").alias("g"), F.col("grp2").alias("h"), "n", "n2")
         .agg(F.count("*").alias("lists")).where(F.col("lists") >= _common(F.col("n"), F.col("n2"))).select("g", "h")
         .join(star.select(F.least("g", "h").alias("g"), F.greatest("g", "h").alias("h"))

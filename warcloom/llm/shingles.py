@@ -17,7 +17,7 @@ _LOWER[ord("A"):ord("Z") + 1] += 32
 _BYTE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 _SLOT = mix64(np.arange(101, 101 + WIDTH, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F)) | np.uint64(1)
 #: Texts are hashed in blocks of about this many bytes, which bounds memory.
-BLOCK_BYTES = 2_000_000
+BLOCK_BYTES = 500_000
 
 
 def _position(n: int) -> np.ndarray:
