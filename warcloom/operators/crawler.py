@@ -65,8 +65,9 @@ def crawler_with_kafka(status: DataFrame, reports: DataFrame) -> DataFrame:
 
 
 def _finite(value: Column) -> Column:
+    """The number; 0 where the counter is missing, NULL where it is not finite."""
     number = value.try_cast("double")
-    return F.when(~F.isnan(number) & (F.abs(number) != float("inf")), number)
+    return F.when(value.isNull(), F.lit(0.0)).when(~F.isnan(number) & (F.abs(number) != float("inf")), number)
 
 
 def crawler_metrics(status: DataFrame) -> DataFrame:

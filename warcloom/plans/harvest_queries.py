@@ -132,7 +132,10 @@ def jn_21(spark, sf):
     return ops.warcs_for_logs(fx.crawl_log(spark, sf), _stored(spark, sf))
 
 
-@query("so_4_additional_warcs", f"SELECT name, path FROM {_STORED} WHERE name NOT IN (SELECT name FROM {_MENTIONED})")
+@query("so_4_additional_warcs", f"""
+SELECT name, path FROM (SELECT name, path FROM {_STORED} UNION ALL SELECT DISTINCT 'extra-' || user_id || '.warc.gz', '/extra/extra-' || user_id || '.warc.gz' FROM fx_log)
+WHERE name NOT IN (SELECT name FROM {_MENTIONED})""")
 def so_4(spark, sf):
-    stored = _stored(spark, sf).withColumn("name", F.regexp_replace(U.basename(F.col("path")), r"\.open$", ""))
+    extra = fx.crawl_log(spark, sf).select(F.concat(F.lit("/extra/extra-"), F.col("user_id").cast("string"), F.lit(".warc.gz")).alias("path")).distinct()
+    stored = _stored(spark, sf).select("path").unionByName(extra).withColumn("name", F.regexp_replace(U.basename(F.col("path")), r"\.open$", ""))
     return ops.additional_warcs(stored, ops.warcs_for_logs(fx.crawl_log(spark, sf), _stored(spark, sf)))

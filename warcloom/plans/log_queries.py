@@ -195,9 +195,11 @@ def ag_2h(spark, sf):
 
 
 @query("ag_3_dead_seeds", f"""
-SELECT url FROM fx_log GROUP BY url HAVING bool_or({_DEAD}) AND NOT bool_or({_LIVE})""")
+SELECT url || '?u=' || user_id AS url FROM fx_log GROUP BY url, user_id HAVING bool_or({_DEAD}) AND NOT bool_or({_LIVE})""")
 def ag_3(spark, sf):
-    return ops.dead_seeds(fx.crawl_log(spark, sf))
+    # One URL per page and user, so that some never succeed.
+    log = fx.crawl_log(spark, sf)
+    return ops.dead_seeds(log.withColumn("url", F.concat("url", F.lit("?u="), F.col("user_id").cast("string"))))
 
 
 @query("wn_1_first_n_per_host", """

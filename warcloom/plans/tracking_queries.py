@@ -426,7 +426,7 @@ def _status(spark, sf):
         group, name = path.split(".")
         names.setdefault(group, []).append(name)
     known = {"downloadedUriCount": text("n"), "totalUriCount": text("v"), "congestionRatio": F.when(F.col("n") % 2 == 0, "NaN").otherwise("0.5")}
-    zero = F.lit("0")
+    zero = F.when(F.col("n") % 2 == 0, F.lit(None).cast("string")).otherwise("0")  # a missing counter counts as 0
     groups = []
     for group, fields in names.items():
         columns = [known.get(f, zero).alias(f) for f in fields]
