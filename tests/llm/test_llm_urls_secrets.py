@@ -6,7 +6,6 @@ import string
 
 import numpy as np
 from llm_frames import SF, docs, plain, read
-from pyspark.sql import functions as F
 
 from warcloom.llm import secrets as S
 from warcloom.llm import url_filter as U

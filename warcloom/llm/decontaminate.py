@@ -87,7 +87,7 @@ def segments_of(text: str, segment_chars: int) -> list[str]:
 
 
 def build_index(rows: list[tuple[int, str]], edit_rate: float, segment_chars: int, q: int = Q) -> SegmentIndex:
-    """Segments too short for a positive bound take a lower edit budget, down to 0 edits; shorter than q they are compared whole."""
+    """Segments too short for a positive bound take a lower edit budget, down to 0 edits; those shorter than q are left out."""
     items, texts, edits, bounds, hashes, owner, places = [], [], [], [], [], [], []
     for item, text in rows:
         for segment in segments_of(text, segment_chars):

@@ -164,8 +164,8 @@ def top_k(
 
     Ties go to the smaller id. Vectors that are null or hold a null or
     non-finite component, and rows without an id, take no part; neither do pairs
-    of different dimensions. A query whose id repeats is one query per distinct
-    vector, and rows with the query's own id are not its candidates. Fewer than k
+    of different dimensions. A query id that repeats is one query, whose best are
+    taken over its vectors, and rows with its id are not its candidates. Fewer than k
     candidates give fewer rows. Other columns are not read.
     """
     whole = cut_lineage(
