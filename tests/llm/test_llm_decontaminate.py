@@ -77,3 +77,26 @@ def test_blocks_and_empty_tables(spark):
     assert one == many == {(i, i) for i in range(30)}
     assert D.leaks(plain(spark, rows), bench.limit(0)).count() == 0 and D.leaks(plain(spark, []), bench).count() == 0
     assert D.drop_leaked(plain(spark, rows), bench.limit(0)).count() == 30
+
+
+def test_part_of_an_item_is_found_wherever_it_begins():
+    draw = random.Random(5)
+    for words in (12, 30, 55):
+        item = D.plain_form(sentence(draw, words))
+        index = D.build_index([(1, item)], 0.06, 120)
+        length = D.windows_of(item)[0] + D.STEP - 1
+        texts = [f"{sentence(draw, 8)} {item[at:at + length]} {sentence(draw, 8)}" for at in range(len(item) - length + 1)]
+        assert {t for t, *_ in D.scan(index, texts)} == set(range(len(texts)))
+    # One edit in the middle of a part, and the ends of the item missing.
+    part = item[20:110]
+    noisy = part[:45] + "%q" + part[46:]
+    assert {t for t, *_ in D.scan(index, [noisy, sentence(draw, 40)])} == {0}
+
+
+def test_part_that_no_segment_fits_leaks(spark):
+    draw = random.Random(11)
+    items = [(i, sentence(draw, 22)) for i in range(20)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    rows = [(i, f"before {' '.join(t.split()[3:-3])} after") for i, t in items]
+    assert {(r.doc_id, r.item_id) for r in D.leaks(plain(spark, rows), bench).collect()} == {(i, i) for i, _ in items}
+    assert D.drop_leaked(plain(spark, rows), bench).count() == 0

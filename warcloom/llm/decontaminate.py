@@ -2,12 +2,16 @@
 
 Texts and benchmark items are compared as runs of lower-case letters and digits
 with single spaces between. Each item is cut into equal segments of at most
-``segment_chars``, so that a text which holds part of an item is found too. A
-segment of m characters within k = floor(edit_rate * m) edits of a text region
-shares at least m - q + 1 - k * q q-grams with it, and those lie on at most
-k + 1 neighbouring diagonals (text position minus segment position).
-
-1. All q-grams of a text are hashed and looked up among those of the segments.
+``segment_chars``, and besides into overlapping windows of ``WINDOW`` characters,
+one every ``STEP``, so that a text which holds part of an item is found wherever
+the part begins: a verbatim passage of WINDOW + STEP - 1 = 47 characters holds a
+whole window. Items under 100 characters have windows of two fifths of their
+length, but of 30 characters at least. A segment or window of m characters within
+k = floor(edit_rate * m) edits of a text region shares at least m - q + 1 - k * q
+q-grams with it, and those lie on at most k + 1 neighbouring diagonals (text
+position minus segment position).
+
+1. All q-grams of a text are hashed and looked up among those of the items.
 2. Hits are counted per (segment, diagonal band). Bands of 2 (k + 1) diagonals
    overlap by half, so any k + 1 neighbouring diagonals lie in one of them.
 3. Bands that reach the lemma's bound are kept as regions, and each is verified
@@ -32,6 +36,10 @@ from .common import mix64
 
 _NOISE = re.compile(r"[\W_]+")
 Q = 12
+#: Characters of a window (of a short item: at least), and from one window's start to the next.
+WINDOW, SHORT_WINDOW, STEP = 40, 30, 8
+#: Shared q-grams that a window needs at least; its edit budget is lowered to fit.
+_WINDOW_GRAMS = 5
 #: Texts are scanned in blocks of about this many characters, which bounds memory.
 SCAN_CHARS = 2_000_000
 _TABLE_BITS = 22
@@ -64,16 +72,25 @@ def gram_hashes(data: np.ndarray, q: int = Q) -> np.ndarray:
 
 @dataclass
 class SegmentIndex:
-    """Segments of a benchmark block with all their q-grams."""
+    """Segments and windows of a benchmark block with the q-grams of its items.
+
+    ``items``, ``texts``, ``begins``, ``edits`` and ``bounds`` have an entry for
+    each segment or window. A q-gram is kept once for each place in an item:
+    the place, the segment that holds it (or -1), and the first window that holds
+    it and how many do, for windows are listed in order.
+    """
 
     items: list[int]
     texts: list[str]
+    begins: np.ndarray
     edits: np.ndarray
     bounds: np.ndarray
     grams: np.ndarray
     starts: np.ndarray
+    place: np.ndarray
     segment: np.ndarray
-    offset: np.ndarray
+    window: np.ndarray
+    windows: np.ndarray
     table: np.ndarray
 
 
@@ -86,34 +103,66 @@ def segments_of(text: str, segment_chars: int) -> list[str]:
     return [plain[i:i + size] for i in range(0, len(plain), size)]
 
 
+def windows_of(plain: str) -> tuple[int, list[int]]:
+    """Length and starts of an item's windows; none where the item is no longer than one."""
+    size = max(SHORT_WINDOW, min(WINDOW, len(plain) * 2 // 5))
+    last = len(plain) - size
+    if last <= 0:
+        return size, []
+    return size, [*range(0, last, STEP), last]
+
+
 def build_index(rows: list[tuple[int, str]], edit_rate: float, segment_chars: int, q: int = Q) -> SegmentIndex:
     """Segments too short for a positive bound take a lower edit budget, down to 0 edits; those shorter than q are left out."""
-    items, texts, edits, bounds, hashes, owner, places = [], [], [], [], [], [], []
+    items, texts, begins, edits, bounds = [], [], [], [], []
+    hashes, places, segment, window, windows = [], [], [], [], []
+
+    def add(item: int, text: str, begin: int, least: int) -> int:
+        m = len(text)
+        k = min(int(edit_rate * m), max(0, (m - q + 1 - least) // q))
+        items.append(item)
+        texts.append(text)
+        begins.append(begin)
+        edits.append(k)
+        bounds.append(max(1, m - q + 1 - k * q))
+        return len(items) - 1
+
     for item, text in rows:
-        for segment in segments_of(text, segment_chars):
-            m = len(segment)
-            k = min(int(edit_rate * m), max(0, (m - q) // q))
-            if m < q:
-                continue  # nothing to hold against the lemma; see the docstring of leaks
-            items.append(item)
-            texts.append(segment)
-            edits.append(k)
-            bounds.append(max(1, m - q + 1 - k * q))
-            h = gram_hashes(np.frombuffer(segment.encode("utf-32-le"), np.uint32), q)
-            hashes.append(h)
-            owner.append(np.full(len(h), len(items) - 1, np.int64))
-            places.append(np.arange(len(h), dtype=np.int64))
+        plain = plain_form(text)
+        if len(plain) < q:
+            continue  # nothing to hold against the lemma; see the docstring of leaks
+        place = np.arange(len(plain) - q + 1, dtype=np.int32)
+        held = np.full(len(place), -1, np.int32)
+        begin = 0
+        for piece in segments_of(text, segment_chars):
+            if len(piece) >= q:
+                held[begin:begin + len(piece) - q + 1] = add(item, piece, begin, 1)
+            begin += len(piece)
+        size, at = windows_of(plain)
+        first = len(items)
+        for begin in at:
+            add(item, plain[begin:begin + size], begin, _WINDOW_GRAMS)
+        # Windows that hold the q-gram at p begin at p - size + q up to p.
+        low = np.searchsorted(at, place - size + q, "left")
+        high = np.searchsorted(at, place, "right")
+        hashes.append(gram_hashes(np.frombuffer(plain.encode("utf-32-le"), np.uint32), q))
+        places.append(place)
+        segment.append(held)
+        window.append((first + low).astype(np.int32))
+        windows.append((high - low).astype(np.int32))
     flat = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
     order = np.argsort(flat, kind="stable")
-    sorted_hashes = flat[order]
-    grams, starts = np.unique(sorted_hashes, return_index=True)
+    grams, starts = np.unique(flat[order], return_index=True)
     table = np.zeros(1 << _TABLE_BITS, bool)
     table[(grams >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)] = True
-    empty = np.zeros(0, np.int64)
+
+    def sorted_by_gram(parts: list[np.ndarray]) -> np.ndarray:
+        return np.concatenate(parts)[order] if parts else np.zeros(0, np.int32)
+
     return SegmentIndex(
-        items, texts, np.array(edits, np.int64), np.array(bounds, np.int64), grams,
+        items, texts, np.array(begins, np.int64), np.array(edits, np.int64), np.array(bounds, np.int64), grams,
         np.append(starts, len(flat)).astype(np.int64),
-        np.concatenate(owner)[order] if owner else empty, np.concatenate(places)[order] if places else empty, table,
+        *map(sorted_by_gram, (places, segment, window, windows)), table,
     )
 
 
@@ -123,6 +172,9 @@ def banded_distance(segment: str, region: str, low: int, high: int, limit: int)
     Only cells with low <= region position - segment position <= high are
     visited. None when the least is over the limit.
     """
+    exact = region.find(segment, max(0, low), max(0, min(len(region), high + len(segment))))
+    if exact >= 0:
+        return 0, exact + len(segment)
     infinite = limit + 1
     previous = {j: 0 for j in range(max(0, low), min(len(region), high) + 1)}
     for i, letter in enumerate(segment, 1):
@@ -141,6 +193,11 @@ def banded_distance(segment: str, region: str, low: int, high: int, limit: int)
     return (distance, end) if distance <= limit else None
 
 
+def _ranges(first: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """first, first + 1, ... of each range, ``many`` numbers each."""
+    return np.repeat(first, many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+
+
 def _regions(index: SegmentIndex, data: np.ndarray, q: int) -> list[tuple[int, int, int]]:
     """(segment, lowest diagonal, highest diagonal) of the bands that reach the bound."""
     if len(data) < q or not len(index.grams):
@@ -155,9 +212,11 @@ def _regions(index: SegmentIndex, data: np.ndarray, q: int) -> list[tuple[int, i
     if not len(maybe):
         return []
     many = index.starts[at + 1] - index.starts[at]
-    entry = np.repeat(index.starts[at], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-    segment = index.segment[entry]
-    diagonal = np.repeat(maybe, many) - index.offset[entry]
+    entry = _ranges(index.starts[at], many)
+    diagonal = np.repeat(maybe, many) - index.place[entry]
+    inside, many = index.segment[entry] >= 0, index.windows[entry]
+    segment = np.concatenate([index.segment[entry[inside]], _ranges(index.window[entry], many)]).astype(np.int64)
+    diagonal = np.concatenate([diagonal[inside], np.repeat(diagonal, many)]) + index.begins[segment]
     half = index.edits[segment] + 1
     # Band b covers diagonals b * half up to (b + 2) * half; each diagonal lies in two bands.
     band = np.floor_divide(diagonal, half)
@@ -187,13 +246,15 @@ def scan(index: SegmentIndex, texts: list[str | None], q: int = Q) -> Iterator[t
             owner = int(np.searchsorted(starts, max(0, (low + high) // 2 + len(segment) // 2), "right")) - 1
             owner = min(max(owner, 0), len(block) - 1)
             text, base = block[owner], int(starts[owner])
+            key = (owner, s)
+            if key in best and not best[key][0]:
+                continue  # regions come in order, so this one lies behind
             begin = max(0, low - base - k)
             region = text[begin:max(0, high - base + len(segment) + k)]
             got = banded_distance(segment, region, low - base - begin - k, high - base - begin + k, k)
             if got:
                 end = begin + got[1]
                 row = (got[0], max(0, end - len(segment)), end)
-                key = (owner, s)
                 if key not in best or row < best[key]:
                     best[key] = row
         for (owner, s), (edits, start, end) in sorted(best.items()):
@@ -214,10 +275,11 @@ def leaks(
     docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", *,
     edit_rate: float = 0.06, segment_chars: int = 120, block_chars: int = 4_000_000,
 ) -> DataFrame:
-    """One row per (text row, item) with a verified segment.
+    """One row per (text row, item) with a verified segment or window.
 
-    Columns: doc_id, item_id, segments (how many of the item's segments were
-    found), start, end (of the first one, in the plain form), edits (their sum).
+    Columns: doc_id, item_id, segments (how many of the item's segments and
+    windows were found), start, end (of the first one, in the plain form), edits
+    (their sum; windows overlap, so an edit can count in several).
     Null or empty texts and items match nothing; items whose plain form is
     shorter than 12 characters are too short to tell and match nothing; repeated
     items with one id count as one. A text row that repeats gives its rows again.
