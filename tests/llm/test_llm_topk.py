@@ -44,3 +44,30 @@ def test_empty(spark):
     assert T.top_k(spark.createDataFrame([], "vec_id long, embedding array<double>"), F.lit(True)).count() == 0
     one = spark.createDataFrame([(1, [1.0])], "vec_id long, embedding array<double>")
     assert T.top_k(one, F.lit(True)).count() == 0
+
+
+def test_table_larger_than_the_range_sample(spark):
+    """Each query's best vector is the only one just above the bound of round one, so a bucket whose greatest length is told too small loses it."""
+    n, many, longest = 8000, 24, 1000.0
+    rows = [(1000 + i, [longest * (0.5 + 0.5 * i / (n - 1)), *[0.0] * many]) for i in range(n)]
+    for i in range(many):
+        near = 0.55 + 0.4 * i / many
+        for number, length in ((i, 1.0), (100 + i, longest * near * 1.0005)):
+            axes = [0.0] * many
+            axes[i] = length * (1 - near * near) ** 0.5
+            rows.append((number, [length * near, *axes]))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    size = "spark.sql.execution.rangeExchange.sampleSizePerPartition"
+    spark.conf.set(size, "4")
+    try:
+        got = T.top_k(df, F.col("vec_id") < many, 1, bucket_rows=200, query_rows=1).collect()
+    finally:
+        spark.conf.unset(size)
+    vectors = np.floor(1024 * np.array([v for _, v in rows])).astype(np.int64)
+    ids = np.array([i for i, _ in rows])
+    want = {}
+    for i in range(many):
+        scores = vectors @ vectors[int(np.flatnonzero(ids == i)[0])]
+        scores[ids == i] = np.iinfo(np.int64).min
+        want[i] = (int(ids[scores.argmax()]), int(scores.max()))
+    assert {r.query_id: (r.vec_id, r.score) for r in got} == want

@@ -178,7 +178,9 @@ def top_k(
         return whole.select(F.col("id").alias("query_id"), F.lit(1).alias("rank"), F.col("id").alias("vec_id"), F.col("id").alias("score")).limit(0)
     buckets = -(-n // bucket_rows)
     # A range partition by falling length; ties are split by the vectors themselves.
-    ranged = distinct.repartitionByRange(buckets, F.desc("norm2"), F.xxhash64("vec"), "vec").withColumn("bucket", F.spark_partition_id().cast("long"))
+    # Range bounds are sampled anew by each run of the plan, so the buckets are fixed before they are read twice.
+    ranged = cut_lineage(
+        distinct.repartitionByRange(buckets, F.desc("norm2"), F.xxhash64("vec"), "vec").withColumn("bucket", F.spark_partition_id().cast("long")))
     blocks = cut_lineage(
         ranged.withColumn("width", F.size("vec")).groupBy("bucket", "width").applyInArrow(
             _blocks, "bucket long, width int, vectors binary, ids binary, counts binary"))
