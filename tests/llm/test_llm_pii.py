@@ -79,3 +79,36 @@ def test_awkward_tables(spark):
 def test_no_python_in_the_plan(spark):
     plan = pii.find(plain(spark, [(1, "a@b.c")]))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_terms_of_rare_entities_are_added_at_any_distance(spark):
+    fill = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda omicron"
+    one = f"Zebulon {fill} one@mail.example.com"
+    two = [f"{fill} Quillon {n} {fill} +1 222 333 4444" for n in ("alpha", "beta")]
+    rows = [(1, one), (2, two[0]), (3, two[1]), (4, two[1])] + [(10 + i, f"{fill} {i}") for i in range(60)]
+    found = {r.doc_id: [r.text[s.start:s.stop] for s in r.added] for r in pii.find(plain(spark, rows)).collect()}
+    assert found[1] == ["Zebulon"] and found[2] == found[3] == found[4] == ["Quillon"] and not found[10]
+    # Copies are documents too, and change neither side of the comparison alone.
+    copied = {r.doc_id: len(r.added) for r in pii.find(plain(spark, rows + [(5, one), (6, one)])).collect()}
+    assert copied[1] == copied[5] == copied[6] == 1
+
+
+def test_pairs_equal_brute_force(spark):
+    texts = [r.text for r in read(spark, "documents").select("text").collect() if r.text]
+    frame = plain(spark, list(enumerate(texts)))
+    got = {(r.entity, r.term) for r in pii.disclosing_terms(frame, frame.withColumn("base", pii.base_spans(frame["text"])).where("size(base) > 0")).collect()}
+    words = [{w for w in re.findall(r"[^\W\d_]+", t.lower()) if len(w) >= 3} for t in texts]
+    holders = collections.defaultdict(set)
+    for i, t in enumerate(texts):
+        for _, start, stop in base(t):
+            holders[t[start:stop]].add(i)
+    counts = collections.Counter(w for ws in words for w in ws)
+    want = set()
+    for entity, held in holders.items():
+        for w in set().union(*(words[i] for i in held)):
+            both = [i for i in held if w in words[i]]
+            share = both and len(both) * len(texts) / (counts[w] * len(held))
+            enough = len({texts[i] for i in both}) >= min(3, len({texts[i] for i in held}))
+            if enough and len(held) < len(texts) and share >= (len(texts) / len(held)) ** 0.9 * (1 - 1e-12):
+                want.add((entity, w))
+    assert got == want and want

@@ -10,8 +10,8 @@ so corpus co-occurrence measures how much each term gives away:
 Probabilities are shares of documents. A term that reaches
 ``PMI >= threshold * IC`` tells that share of what the entity itself would tell,
 and is treated as a disclosure wherever a document holds that entity. Terms are
-words within ``reach`` words of an entity; a pair needs ``support`` distinct
-surroundings, so a term that is only ever copied along does not count.
+words of at least three letters anywhere in a document that holds the entity. A
+pair needs ``support`` distinct texts, or all texts of an entity that has fewer.
 
 Entities are replaced by their kind, disclosing terms are generalised to
 ``[TERM]`` (``action="generalise"``) or removed (``action="remove"``).
@@ -111,52 +111,41 @@ def spans_text(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["stop"].cast("string"))), ",")
 
 
-def _surroundings(text: Column, span: Column, reach: int) -> Column:
-    """Lower-case words of at least three letters among the nearest words on each side of a span.
-
-    Words are looked for in the 40 * reach code points next to the span, so the
-    cost does not depend on the text's length; a word cut by that edge is left out.
-    """
-    width = 40 * reach
-    before = F.substring(text, F.greatest(span["start"] - width + 1, F.lit(1)).cast("int"), F.least(span["start"], F.lit(width)).cast("int"))
-    after = F.substring(text, (span["stop"] + 1).cast("int"), F.lit(width))
-    before = F.when(span["start"] > width, F.regexp_replace(before, r"^\p{L}+", "")).otherwise(before)
-    after = F.when(F.length(after) == width, F.regexp_replace(after, r"\p{L}+$", "")).otherwise(after)
-    left = F.regexp_extract_all(before, F.lit(_WORD), F.lit(0))
-    right = F.regexp_extract_all(after, F.lit(_WORD), F.lit(0))
-    near = F.concat(F.slice(left, F.greatest(F.size(left) - reach + 1, F.lit(1)), F.lit(reach)), F.slice(right, F.lit(1), F.lit(reach)))
-    return F.array_distinct(F.transform(F.filter(near, lambda w: F.length(w) >= 3), lambda w: F.lower(w)))
-
-
-def disclosing_terms(docs: DataFrame, held: DataFrame, threshold: float = 0.9, support: int = 3, reach: int = 4) -> DataFrame:
+def disclosing_terms(docs: DataFrame, held: DataFrame, threshold: float = 0.9, support: int = 3) -> DataFrame:
     """(entity, term, pmi, ic) at or over the threshold.
 
     ``held`` has the rows of ``docs`` with an entity and their ``base`` spans.
-    Counts cover every document: a term's frequency counts the documents that
-    hold it as a word, an entity's those that hold it as a span.
+    Counts are of documents: a term's are those that hold it as a word, an
+    entity's those that hold it as a span, a pair's those that hold both, at any
+    distance. Only support is counted in distinct texts.
     """
     documents = docs.count()
-    near = (
-        held.select("text", F.explode("base").alias("span"))
-        .select(F.col("span.value").alias("entity"), _surroundings(F.col("text"), F.col("span"), reach).alias("terms"))
-        .where(F.size("terms") > 0)
-        .groupBy("entity", F.xxhash64("terms").alias("around")).agg(F.first("terms").alias("terms"), F.count("*").alias("seen"))
+    once = cut_lineage(
+        held.groupBy(F.sha2("text", 256).alias("_key"))
+        .agg(F.count("*").alias("copies"), F.first("text").alias("text"), F.first("base").alias("base")))
+    holds = once.select("_key", "copies", F.explode(F.array_distinct(F.transform("base", lambda s: s["value"]))).alias("entity"))
+    entities = holds.groupBy("entity").agg(F.sum("copies").alias("with_entity"), F.count("*").alias("texts"))
+    holds = cut_lineage(holds.join(entities, "entity"))
+
+    def words_of(text: Column) -> Column:
+        return F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(_WORD), F.lit(0)))).alias("term")
+
+    words = docs.select(words_of(F.col("text"))).where(F.length("term") >= 3).groupBy("term").agg(F.count("*").alias("with_term"))
+    # A pair is in at most with_entity documents, so no more frequent term can reach the threshold; a hair of slack for rounding.
+    most = F.pow(F.lit(float(documents)), F.lit(1 - threshold)) * F.pow("with_entity", F.lit(threshold)) * (1 + 1e-9)
+    rare = (
+        once.select("_key", words_of(F.col("text"))).where(F.length("term") >= 3).join(words, "term")
+        .join(holds.groupBy("_key").agg(F.max("with_entity").alias("with_entity")), "_key").where(F.col("with_term") <= most)
+        .select("_key", "term", "with_term")
     )
     pairs = (
-        near.select("entity", "seen", F.explode("terms").alias("term")).groupBy("entity", "term")
-        .agg(F.count("*").alias("ways"), F.sum("seen").alias("seen")).where(F.col("ways") >= support)
-    )
-    entities = held.select(F.explode(F.array_distinct(F.transform("base", lambda s: s["value"]))).alias("entity")).groupBy(
-        "entity").agg(F.count("*").alias("with_entity"))
-    words = (
-        docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(_WORD), F.lit(0)))).alias("term"))
-        .where(F.length("term") >= 3).groupBy("term").agg(F.count("*").alias("with_term"))
+        rare.join(holds, "_key").where(F.col("with_term") <= most).groupBy("entity", "term", "with_entity", "with_term", "texts")
+        .agg(F.sum("copies").alias("with_both"), F.count("*").alias("ways"))
+        .where(F.col("ways") >= F.least(F.lit(support), F.col("texts")))
     )
-    both = F.least("seen", "with_term", "with_entity")
     scored = (
-        pairs.join(entities, "entity").join(words, "term")
-        .withColumn("ic", F.log(F.lit(documents) / F.col("with_entity")))
-        .withColumn("pmi", F.log(both * F.lit(documents) / (F.col("with_term") * F.col("with_entity"))))
+        pairs.withColumn("ic", F.log(F.lit(documents) / F.col("with_entity")))
+        .withColumn("pmi", F.log(F.col("with_both") * F.lit(documents) / (F.col("with_term") * F.col("with_entity"))))
     )
     # An entity that every document holds tells nothing (ic = 0).
     return scored.where((F.col("ic") > 0) & (F.col("pmi") >= threshold * F.col("ic"))).select("entity", "term", "pmi", "ic")
@@ -185,7 +174,7 @@ def _term_spans(text: Column, terms: Column) -> Column:
     return F.aggregate(steps, empty, step, lambda state: state["spans"])
 
 
-def find(docs: DataFrame, threshold: float = 0.9, support: int = 3, reach: int = 4) -> DataFrame:
+def find(docs: DataFrame, threshold: float = 0.9, support: int = 3) -> DataFrame:
     """``docs`` plus ``base`` and ``added``, lists of spans in code points.
 
     Null text counts as empty and has no span. Rows are neither merged nor
@@ -195,7 +184,7 @@ def find(docs: DataFrame, threshold: float = 0.9, support: int = 3, reach: int =
     based = docs.withColumn("base", base_spans(F.col("text")))
     # Texts with entities are few; they are kept so that the counts need not search again.
     held = cut_lineage(based.where(F.size("base") > 0))
-    pairs = disclosing_terms(docs, held, threshold, support, reach).select("entity", "term")
+    pairs = disclosing_terms(docs, held, threshold, support).select("entity", "term")
     # Keyed by a digest of the text: equal texts have equal spans.
     keyed = held.withColumn("_key", F.sha2("text", 256))
     terms = (
