@@ -120,6 +120,15 @@ def test_trace_routes_like_brute_force(spark):
     assert {(r.document, r.seed): (r.landing_page, r.route) for r in got} == brute_routes(docs, links, seeds)
 
 
+def test_trace_routes_beyond_twenty_hops(spark):
+    links = [(f"n{i}", f"n{i + 1}") for i in range(23)] + [("x", "y")]
+    docs = spark.createDataFrame([("n0",), ("x",)], "url string")
+    routes = harvest.trace_routes(
+        docs, spark.createDataFrame(links, "url string, referrer string"), spark.createDataFrame([("n23",)], "url string"))
+    assert [(r.document, r.seed, len(r.route)) for r in routes.collect()] == [("n0", "n23", 24)]
+    assert [tuple(r) for r in harvest.unreached(docs, routes).collect()] == [("x", "NO SEED")]
+
+
 def test_apply_updates_order_and_new_records(spark):
     base = spark.createDataFrame([("a", "old", ["x"], 1), ("b", "old", None, None)], "id string, s string, tags array<string>, n long")
     u = [("a", "s", "set", "1", 1), ("a", "s", "set", "", 2), ("a", "tags", "add-distinct", "y", 1), ("a", "tags", "remove", "x", 2), ("a", "tags", "add-distinct", "y", 3),

@@ -174,12 +174,13 @@ def referrer_links(log: DataFrame) -> DataFrame:
     ).select("url", F.col("via").alias("referrer")).distinct()
 
 
-def trace_routes(docs: DataFrame, links: DataFrame, seeds: DataFrame, max_hops: int = 3, widest: int = 20) -> DataFrame:
+def trace_routes(docs: DataFrame, links: DataFrame, seeds: DataFrame, max_hops: int = 3, widest: int | None = None) -> DataFrame:
     """Routes from documents back to seeds: (document, seed, landing_page, route).
 
     docs and seeds: url; links: url, referrer. Routes of up to ``max_hops``
-    hops count; a document without any is searched further, hop by hop, up to
-    ``widest``. A branch ends at its first seed and never repeats a page. The
+    hops count; a document without any is searched further, hop by hop, until no
+    new page is reached, or up to ``widest`` where it is given. Documents that no
+    seed reaches have no row; ``unreached`` lists them. A branch ends at its first seed and never repeats a page. The
     landing page is the commonest first referrer over a document's routes, and
     one shortest route per seed is returned.
 
@@ -190,12 +191,16 @@ def trace_routes(docs: DataFrame, links: DataFrame, seeds: DataFrame, max_hops:
     seeds = cut_lineage(seeds.select("url").distinct())
     level = seeds.withColumn("dist", F.lit(0))
     distances = level
-    for hop in range(1, widest + 1):
+    hop = 0
+    while widest is None or hop < widest:
+        hop += 1
         onward = links.join(level.select(F.col("url").alias("referrer")), "referrer", "left_semi").select("url").distinct()
         level = cut_lineage(onward.join(distances, "url", "left_anti").withColumn("dist", F.lit(hop)))
         if level.isEmpty():
             break
         distances = distances.unionByName(level)
+        if hop % 10 == 0:
+            distances = cut_lineage(distances)
 
     onward = links.join(distances.select(F.col("url").alias("referrer"), "dist"), "referrer")
     # A document that is itself a seed still has to be reached from a seed.
@@ -242,6 +247,12 @@ def trace_routes(docs: DataFrame, links: DataFrame, seeds: DataFrame, max_hops:
     )
 
 
+def unreached(docs: DataFrame, routes: DataFrame) -> DataFrame:
+    """(document, outcome): documents that ``trace_routes`` found no route for."""
+    return docs.select(F.col("url").alias("document")).distinct().join(routes.select("document"), "document", "left_anti").withColumn(
+        "outcome", F.lit("NO SEED"))
+
+
 def logged_warc_names(log: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Distinct WARC names and WARC name prefixes that successful lines mention."""
     status = L.status_int(F.col("status_code"))
