@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, ngram_join, packing, pii, secrets, sharding, token_counts, topk_products, toxicity, url_filter
+from . import collocations, decontaminate, ngram_join, packing, pii, secrets, sharding, token_counts, topk_products, toxicity, url_filter
 from .common import table, tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,3 +114,34 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
         s["stop"].alias("stop"), s["kind"].alias("kind"))))
     return found.select(
         "doc_id", *[count(k) for k in secrets.KINDS], F.sha2(listed(F.col("base")), 256).alias("base_sha256"), listed(everything).alias("spans"))
+
+
+@query("op11_phrase_collocations", """
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents),
+split AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM split GROUP BY lang),
+grams AS (
+  SELECT lang, k, unnest([w[i:i + k - 1] FOR i IN range(1, len(w) - k + 2)]) AS g
+  FROM split, (VALUES (1), (2), (3), (4)) AS lengths(k)),
+f AS (SELECT lang, k, array_to_string(g, ' ') AS phrase, count(*) AS f FROM grams GROUP BY ALL HAVING count(*) >= 30),
+cand AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+inside AS (
+  SELECT lang, phrase, max(a) AS longer FROM (
+    SELECT lang, a, array_to_string(w[i:i + m - 1], ' ') AS phrase
+    FROM cand, (VALUES (2), (3)) AS inner_lengths(m), (VALUES (1), (2), (3)) AS starts(i) WHERE m < k AND i + m - 1 <= k)
+  GROUP BY ALL),
+kept AS (SELECT c.* FROM cand c LEFT JOIN inside i USING (lang, phrase) WHERE longer IS NULL OR longer::HUGEINT * 100 < a::HUGEINT * 80),
+cuts AS (
+  SELECT c.lang, c.phrase, a, j, l.f AS l, r.f AS r, (a::HUGEINT * 2000000) // (l.f::HUGEINT + r.f) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM kept) c
+  JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(w[1:j], ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(w[j + 1:c.k], ' ')),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score::BIGINT AS score
+FROM best JOIN totals USING (lang) QUALIFY rank <= 2000
+""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
