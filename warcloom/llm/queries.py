@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import collocations, decontaminate, ngram_join, packing, pii, secrets, sharding, token_counts, topk_products, toxicity, url_filter
+from . import collocations, cover_tree, decontaminate, ngram_join, packing, pii, secrets, sharding, token_counts, topk_products, toxicity, url_filter
 from .common import table, tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -145,3 +146,37 @@ FROM best JOIN totals USING (lang) QUALIFY rank <= 2000
 """)
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def _lloyd_sql(rounds: int = 2) -> str:
+    """The codes by plain comparison with every entry, for vectors of 64 components."""
+    square = " + ".join(f"(p.x[{j}] - b.x[{j}]) * (p.x[{j}] - b.x[{j}])" for j in range(1, 5))
+    mean = ", ".join(f"floor(sum(p.x[{j}]) / count(*))::BIGINT" for j in range(1, 5))
+    steps = ["""
+kept AS (
+  SELECT row_number() OVER (ORDER BY vec_id, embedding) AS row, vec_id, label, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+p AS (SELECT row, part, v[4 * part + 1:4 * part + 4] AS x FROM kept, range(16) AS parts(part)),
+b0 AS (SELECT part, row - 1 AS entry, x FROM p WHERE row <= 64)"""]
+    for i in range(rounds + 1):
+        steps.append(f"""
+a{i} AS (
+  SELECT row, part, min({{'d': {square}, 'entry': b.entry}}) AS best FROM p JOIN b{i} b USING (part) GROUP BY row, part)""")
+        if i < rounds:
+            steps.append(f"""
+m{i} AS (SELECT part, best.entry AS entry, [{mean}] AS x FROM p JOIN a{i} USING (row, part) GROUP BY ALL),
+b{i + 1} AS (SELECT part, entry, coalesce(m.x, b.x) AS x FROM b{i} b LEFT JOIN m{i} m USING (part, entry))""")
+    return f"""WITH {",".join(steps)},
+book AS (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM b{rounds}),
+code AS (
+  SELECT row, string_agg(format('{{:02x}}', best.entry), '' ORDER BY part) AS code, sum(best.d)::BIGINT AS error FROM a{rounds} GROUP BY row)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256
+FROM code JOIN kept USING (row), book"""
+
+
+@query("op12_vector_codes", _lloyd_sql())
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, books = cover_tree.compress(table(spark, sf_dir, "embeddings"))
+    digest = hashlib.sha256(",".join(map(str, books.reshape(-1).tolist())).encode()).hexdigest()
+    return cover_tree.with_label_error(codes).select(
+        F.col("id").alias("vec_id"), F.lower(F.hex("code")).alias("code"), "error", "label_error", F.lit(digest).alias("codebooks_sha256"))
