@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import collocations, cover_tree, decontaminate, ngram_join, packing, pii, secrets, sharding, token_counts, topk_products, toxicity, url_filter
-from .common import table, tokenizer_path
+from . import collocations, cover_tree, decontaminate, ngram_join, packing, pii, secrets, sharding, token_counts, topk_products, toxicity, url_filter, warc_zstd
+from .common import shared_folder, table, tokenizer_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -180,3 +181,25 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     digest = hashlib.sha256(",".join(map(str, books.reshape(-1).tolist())).encode()).hexdigest()
     return cover_tree.with_label_error(codes).select(
         F.col("id").alias("vec_id"), F.lower(F.hex("code")).alias("code"), "error", "label_error", F.lit(digest).alias("codebooks_sha256"))
+
+
+@query("op13_warc_archives", """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first FROM pages),
+bits AS (
+  SELECT *, array_to_string([format('{:04b}', instr('0123456789abcdef', c) - 1) FOR c IN string_split(sha1(html), '')], '') AS b FROM p)
+SELECT page_id, strlen(html)::BIGINT AS payload_bytes,
+       array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + list_sum([substr(b, 5 * i + j, 1)::INT << (5 - j) FOR j IN range(1, 6)])::INT, 1)
+                        FOR i IN range(32)], '') AS payload_digest,
+       CASE WHEN page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM bits
+""")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{shared_folder(spark)}/archives-{uuid.uuid4().hex}"
+    warc_zstd.write_pages(table(spark, sf_dir, "pages"), path)
+    found = warc_zstd.read_archives(spark, path, payloads=False)
+    # A broken place in archives just written is a fault, not a row less.
+    sound = F.when(F.col("error").isNotNull(), F.raise_error(F.concat_ws(": ", "archive", "error")))
+    return found.select(
+        warc_zstd.page_of(F.coalesce(sound, F.col("record_id"))).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        warc_zstd.page_of(F.col("refers_to")).alias("refers_to"))
