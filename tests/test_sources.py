@@ -3,6 +3,7 @@
 import gzip
 import hashlib
 import json
+import random
 
 import pandas as pd
 import pytest
@@ -38,7 +39,7 @@ def warcs(tmp_path_factory):
 
 @pytest.mark.parametrize("name", ["a.warc.gz", "b.warc"])
 def test_warc_records(spark, warcs, name):
-    rows = warc.read_warc_records(spark, str(warcs / name)).orderBy("ordinal").collect()
+    rows = warc.read_warc_records(spark, str(warcs / name)).orderBy("offset").collect()
     assert [r.rec_type for r in rows] == ["warcinfo", "response", "metadata", "response"]
     moved = rows[1]
     assert (moved.http_status, moved.location, moved.mime, moved.digest) == (301, "/b", "text/html", "ABC")
@@ -49,8 +50,68 @@ def test_warc_records(spark, warcs, name):
 
 
 def test_broken_warc_becomes_an_error_row(spark, warcs):
-    rows = warc.read_indexable_records(spark, str(warcs / "broken.warc.gz")).collect()
-    assert len(rows) == 1 and "EOFError" in rows[0].warc_error
+    rows = warc.read_warc_records(spark, str(warcs / "broken.warc.gz")).orderBy("offset").collect()
+    assert len(rows) == 2 and rows[0].rec_type == "warcinfo" and "EOFError" in rows[1].warc_error
+
+
+def archive_of(tmp_path, name, parts):
+    path = tmp_path / f"{name}.warc.gz"
+    path.write_bytes(b"".join(parts))
+    return str(path), path.stat().st_size
+
+
+def test_ranges_give_the_rows_of_the_whole(tmp_path):
+    """Whatever the cuts: with an archive inside a record, with broken records and rubbish between."""
+    rng = random.Random(1)
+
+    def response(i, body):
+        return gzip.compress(record("response", f"http://o{i}/", "application/http; msgtype=response", b"HTTP/1.1 200 OK\r\n\r\n" + body))
+
+    nested = b"".join(response(f"inner{i}", rng.randbytes(3000)) for i in range(100))
+    parts = [response(i, nested if i == 20 else rng.randbytes(rng.randint(1, 9000))) for i in range(60)]
+    for name, pieces, errors in (
+        ("whole", parts, 0), ("broken", [*parts[:10], parts[10][:-30], *parts[11:40], b"junk" * 100, *parts[40:]], 2), ("cut", [*parts[:-1], parts[-1][:50]], 1),
+        ("twice", [*parts[:5], gzip.compress(RECORDS[0] + RECORDS[2]), *parts[5:]], 1),
+    ):
+        path, size = archive_of(tmp_path, name, pieces)
+        whole = list(warc.read_range(path, 0, None, True))
+        assert sum("warc_error" in r for r in whole) == errors
+        assert not any("inner" in (r.get("target_uri") or "") for r in whole)
+        for step in (1000, 10_000, 150_000, size):
+            assert [r for at in range(0, size, step) for r in warc.read_range(path, at, at + step, True)] == whole
+
+
+def test_source_reads_ranges_globs_and_folders(spark, warcs, tmp_path):
+    folder = str(tmp_path / "out")
+    rows = [("response", f"http://x{i}/", "2020-01-01T00:00:00Z", "application/http; msgtype=response", f"<urn:{i}>", None, None,
+             b"HTTP/1.1 200 OK\r\n\r\n" + random.Random(i).randbytes(2000)) for i in range(200)]
+    warc.write_warc(spark.createDataFrame(rows, warc.WRITTEN), folder)
+    (tmp_path / "out" / ".left-by-a-failed-task.warc.gz").write_bytes(b"x")
+    want = sorted((r[1], hashlib.md5(r[-1][19:]).hexdigest()) for r in rows)
+    for path in (folder, f"{folder}/*.warc.gz"):
+        found = warc.read_warc_records(spark, path, keep_content=True, range_bytes=30_000)
+        assert found.rdd.getNumPartitions() > 8
+        assert sorted((r.target_uri, hashlib.md5(r.content).hexdigest()) for r in found.collect()) == want
+    assert warc.read_warc_records(spark, f"{folder}/none*").count() == 0
+    assert {r.warc_error for r in warc.read_warc_records(spark, folder).collect()} == {None}
+
+
+def test_request_bodies_as_arguments():
+    assert warc.post_query("POST", "application/x-www-form-urlencoded; charset=x", b"a=1+2&b=%C3%A9") == "__wb_method=POST&a=1 2&b=\u00e9"
+    assert warc.post_query("PUT", "application/json", b'{"a": {"b": [1, "x"]}, "c": null}') == "__wb_method=PUT&b=1&b=x&c=null"
+    assert warc.post_query("POST", "text/plain", b"\xff") == "__wb_method=POST&__wb_post_data=/w=="
+    assert warc.post_query("POST", "application/json", b"{") == "__wb_method=POST&__wb_post_data=ew=="
+    body = b'--X\r\nContent-Disposition: form-data; name="f"\r\n\r\nv w\r\n--X--\r\n'
+    assert warc.post_query("POST", "multipart/form-data; boundary=X", body) == "__wb_method=POST&f=v+w"
+
+
+def test_records_find_the_request_they_answer(spark):
+    fields = "filename string, rec_type string, record_id string, concurrent_to string, post_query string"
+    rows = [("f", "response", "r1", None, None), ("f", "request", "q1", "r1", "a"), ("f", "response", "r2", "q2", None), ("f", "request", "q2", None, "b"),
+            ("f", "metadata", "m1", "r1", None), ("g", "response", "r1", None, None), ("f", "response", None, None, None), ("f", "request", None, None, "c")]
+    got = warc.with_post_query(spark.createDataFrame(rows, fields)).collect()
+    assert sorted(((r.filename, r.rec_type, r.record_id, r.post_query) for r in got), key=repr) == sorted(
+        [("f", "response", "r1", "a"), ("f", "response", "r2", "b"), ("f", "metadata", "m1", None), ("g", "response", "r1", None), ("f", "response", None, None)], key=repr)
 
 
 def test_whole_content_is_kept(spark, warcs):

@@ -46,21 +46,26 @@ def cdx_line(cols: dict[str, Column] | None = None) -> Column:
     return F.concat_ws(" ", *[F.coalesce(c[n].cast("string"), F.lit(DASH)) for n in CDX_FIELDS])
 
 
-def record_to_cdx(record: dict[str, Column] | None = None) -> Column:
+def record_to_cdx(record: dict[str, Column] | None = None, post_query: Column | None = None) -> Column:
     """Index line of one archived record.
 
     Revisits and records without an HTTP status carry ``-`` there; only
-    redirect statuses keep the Location.
+    redirect statuses keep the Location. ``post_query`` stands for the body of
+    the request that was answered and becomes part of the key alone.
     """
     r = record or {
         n: F.col(n)
         for n in ("rec_type", "target_uri", "warc_date", "http_status", "location", "mime", "digest", "length", "offset", "filename")
     }
+    asked = r["target_uri"]
+    if post_query is not None:
+        joint = F.when(asked.contains("?"), "&").otherwise("?")
+        asked = F.when(post_query.isNull(), asked).otherwise(F.concat(F.substring_index(asked, "#", 1), joint, post_query))
     revisit = r["rec_type"] == "revisit"
     redirect = F.when(r["http_status"].between(300, 399), r["location"])
     return cdx_line(
         {
-            "urlkey": surt_canonical(r["target_uri"]),
+            "urlkey": surt_canonical(asked),
             "timestamp": F.substr(F.regexp_replace(r["warc_date"], "[^0-9]", ""), F.lit(1), F.lit(14)),
             "original": r["target_uri"],
             "mimetype": F.when(revisit, F.lit(REVISIT_MIME)).otherwise(normalise_mime(r["mime"])),

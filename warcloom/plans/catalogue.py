@@ -1,4 +1,14 @@
 """Imports every query module so that the registry is filled."""
 
-from . import capture_queries, curation_queries, harvest_queries, holding_queries, log_queries, page_queries, stream_queries, tracking_queries  # noqa: F401
+from . import (  # noqa: F401
+    capture_queries,
+    curation_queries,
+    harvest_queries,
+    holding_queries,
+    log_queries,
+    page_queries,
+    stream_queries,
+    tracking_queries,
+    warc_queries,
+)
 from .registry import ORACLES, QUERIES  # noqa: F401

@@ -41,8 +41,8 @@ DOCUMENT = _struct(
 )
 
 WARC_RECORD = _struct(
-    filename=_S, ordinal=_L, rec_type=_S, target_uri=_S, warc_date=_S, http_status=_I, location=_S,
-    content_type=_S, mime=_S, digest=_S, offset=_L, length=_L, outlinks=T.ArrayType(_S), warc_error=_S,
+    filename=_S, offset=_L, length=_L, rec_type=_S, record_id=_S, concurrent_to=_S, target_uri=_S, warc_date=_S, http_status=_I, location=_S,
+    content_type=_S, mime=_S, digest=_S, http_method=_S, post_query=_S, outlinks=T.ArrayType(_S), warc_error=_S,
 )
 
 _HEADERS = T.ArrayType(_struct(name=_S, value=_S))
