@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 from ..streaming import operators as ops
+from ..streaming import tables
 from ..streaming.runner import run_available
 from . import frames as fx
 from .registry import query
@@ -35,8 +36,9 @@ def sr_1(spark, sf):
     base = _folder(spark, "documents")
     events = fx.crawl_events(spark, sf, fx.event_stream(spark, sf))
     found = ops.event_documents(events, fx.targets(spark, sf))
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in found.schema)
     run_available(found, f"{base}/progress", batch=ops.store_documents(f"{base}/table"))
-    return spark.read.schema(found.schema).parquet(f"{base}/table").select("document_url", "job_name", "status")
+    return ops.stored_documents(spark, f"{base}/table", schema).select("document_url", "job_name", "status")
 
 
 @query("fl_22_heritrix_event", "SELECT event_id FROM fx_log WHERE event_id % 17 <> 0")
@@ -71,40 +73,51 @@ WITH facts AS (
 SELECT strftime(date_trunc('hour', l.ts), '%Y-%m-%dT%H:%M:%SZ') AS hour, CASE WHEN l.url LIKE 'dns:%' THEN substr(l.url, 5) ELSE l.host END AS host, l.source, property, CAST(sum(amount) AS BIGINT) AS amount
 FROM facts JOIN fx_log l USING (event_id) GROUP BY ALL""")
 def sr_6(spark, sf):
-    """Complete mode, so the last hours show before their watermark passes."""
+    """Update mode: each batch writes the totals that it changed."""
     base = _folder(spark, "summary")
     summary = ops.log_summary(fx.crawl_log(spark, sf, fx.event_stream(spark, sf)))
-    run_available(summary, f"{base}/progress", mode="complete",
-                  batch=lambda batch, _: batch.write.mode("overwrite").parquet(f"{base}/table"))
-    return spark.read.schema(summary.schema).parquet(f"{base}/table")
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in summary.schema)
+    run_available(summary, f"{base}/progress", mode="update", batch=tables.upserted(f"{base}/table", ops.SUMMARY_KEY))
+    return tables.newest(spark, f"{base}/table", schema, ops.SUMMARY_KEY)
 
 
 @query("sr_7_stream_dedup_urls", f"SELECT DISTINCT url AS document_url FROM {_EVENT_DOCS}")
 def sr_7(spark, sf):
-    events = fx.crawl_events(spark, sf, fx.event_stream(spark, sf))
-    found = ops.event_documents(events, fx.targets(spark, sf))
-    return _finish(spark, ops.dedup_urls(found).select("document_url"), "dedup")
-
-
-@query("sr_5_stream_launch_check", """
-WITH c AS (SELECT url, date_trunc('second', ts) AS captured FROM fx_log WHERE url LIKE 'http%'), e AS (SELECT least((SELECT max(ts) FROM fx_log), (SELECT max(launch_ts) FROM fx_launches)) AS t)
-SELECT launch_no, min(captured) IS NOT NULL AS captured, strftime(min(captured), '%Y%m%d%H%M%S') AS captured_at
-FROM fx_launches l LEFT JOIN c ON c.url = l.url AND captured BETWEEN launch_ts AND launch_ts + INTERVAL 12 HOUR
-WHERE launch_ts < (SELECT date_trunc('day', t) - INTERVAL 1 DAY FROM e) GROUP BY launch_no""")
+    """Two runs over the same events: the second one's copies are beyond the state, not beyond the table."""
+    base = _folder(spark, "dedup")
+    schema = None
+    for run in ("first", "again"):
+        events = fx.crawl_events(spark, sf, fx.event_stream(spark, sf))
+        found = ops.event_documents(events, fx.targets(spark, sf)).withColumn(
+            "seen_at", F.try_to_timestamp("wayback_timestamp", F.lit("yyyyMMddHHmmss")))
+        unique = ops.dedup_urls(found, "seen_at").drop("seen_at")
+        schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in unique.schema)
+        store = ops.store_documents(f"{base}/table")
+        later = 0 if run == "first" else 1000  # another query on the table counts its batches on
+        run_available(unique, f"{base}/progress-{run}", batch=lambda batch, n, store=store, later=later: store(batch, n + later))
+    return ops.stored_documents(spark, f"{base}/table", schema).select("document_url")
+
+
+_WAIT = "INTERVAL 12 HOUR"
+
+
+@query("sr_5_stream_launch_check", f"""
+WITH c AS (SELECT url, date_trunc('second', ts) AS captured FROM fx_log WHERE url LIKE 'http%'),
+mark AS (SELECT least((SELECT max(captured) FROM c), (SELECT max(launch_ts) FROM fx_launches)) - INTERVAL 1 HOUR AS t),
+found AS (SELECT l.launch_no, l.url, l.launch_ts, min(captured) AS captured FROM fx_launches l LEFT JOIN c ON c.url = l.url AND captured BETWEEN launch_ts AND launch_ts + {_WAIT} GROUP BY ALL)
+SELECT launch_no, strftime(captured, '%Y%m%d%H%M%S') AS captured_at,
+       CASE WHEN captured IS NOT NULL THEN 'CAPTURED' WHEN launch_ts + {_WAIT} < t THEN 'FAILED' ELSE 'PENDING' END AS outcome
+FROM found, mark""")
 def sr_5(spark, sf):
-    """Launches whose wait ended well before the end of both streams; the
-    watermark, and with it the output, follows the stream that ends first."""
+    """Every launch, with what is known of it when both streams have ended."""
     base = _folder(spark, "launch-input")
     fx.launches(spark, sf).write.parquet(f"{base}/launches")
-    raw = spark.readStream.schema(spark.read.parquet(f"{base}/launches").schema).parquet(f"{base}/launches")
+    launches = spark.readStream.schema(spark.read.parquet(f"{base}/launches").schema).parquet(f"{base}/launches")
     captures = fx.crawl_log(spark, sf, fx.event_stream(spark, sf)).filter("url LIKE 'http%'").select(
         "url", F.date_trunc("second", F.col("ts").cast("timestamp")).alias("captured_at"))
-    done = _finish(spark, ops.launch_check(raw, captures), "launches")
-    last_event = fx.table(spark, sf, "events").agg(F.max("ts").cast("timestamp").alias("t")).scalar()
-    last_launch = fx.launches(spark, sf).agg(F.max("launch_ts").alias("t")).scalar()
-    end = F.date_trunc("day", F.least(last_event, last_launch))
-    return done.filter(F.col("launch_ts") < end - F.expr("INTERVAL 1 DAY")).select(
-        "launch_no", (F.col("outcome") == "CAPTURED").alias("captured"), F.date_format("captured_at", "yyyyMMddHHmmss").alias("captured_at"))
+    run_available(ops.launch_check(launches, captures), f"{base}/progress", mode="update", batch=ops.store_launches(f"{base}/table"))
+    return ops.launch_outcomes(spark, f"{base}/table").select(
+        "launch_no", F.date_format("captured_at", "yyyyMMddHHmmss").alias("captured_at"), "outcome")
 
 
 @query("sr_8_stream_log_files", "SELECT status_code, count(*) AS n FROM fx_log GROUP BY status_code")
