@@ -9,6 +9,7 @@ from ..constants import LAUNCH_TIMEOUT_SECONDS, REVISIT_MIME
 from ..functions import cdx as X
 from ..functions import urls as U
 from ..session import cut_lineage
+from ..sources.cdx import lookup_cdx, pruned_cdx
 from .ordering import asof_forward
 
 _D14 = "yyyyMMddHHmmss"
@@ -51,9 +52,19 @@ def first_last_capture(cdx: DataFrame, position: str = "offset") -> DataFrame:
     return cdx.groupBy("filename").agg(F.min_by(label, position).alias("first_url_ts"), F.max_by(label, position).alias("last_url_ts"))
 
 
-def captures(cdx: DataFrame, url: str, limit: int | None = None, reverse: bool = True, revisits: bool = True) -> DataFrame:
-    """Captures of one URL, newest first unless ``reverse`` is off; all unless a limit is given."""
-    rows = cdx.filter(F.col("original") == url)
+def _rows_of(cdx: DataFrame, url: str, buckets: int | None) -> DataFrame:
+    if buckets is None:
+        return cdx.filter(F.col("original") == url)
+    return pruned_cdx(cdx, cdx.sparkSession.createDataFrame([(url,)], "original string"), buckets).filter(F.col("original") == url)
+
+
+def captures(cdx: DataFrame, url: str, limit: int | None = None, reverse: bool = True, revisits: bool = True, buckets: int | None = None) -> DataFrame:
+    """Captures of one URL, newest first unless ``reverse`` is off; all unless a limit is given.
+
+    With ``buckets``, here and below, ``cdx`` is a table that ``write_cdx`` made with
+    as many, and only the wanted buckets and key ranges of it are read.
+    """
+    rows = _rows_of(cdx, url, buckets)
     if not revisits:
         rows = rows.filter(F.col("mimetype") != REVISIT_MIME)
     order = F.desc("timestamp") if reverse else F.asc("timestamp")
@@ -61,12 +72,17 @@ def captures(cdx: DataFrame, url: str, limit: int | None = None, reverse: bool =
     return rows if limit is None else rows.limit(limit)
 
 
-def capture_dates(cdx: DataFrame, url: str) -> DataFrame:
-    return cdx.filter(F.col("original") == url).select("timestamp").orderBy(F.desc("timestamp"))
+def capture_dates(cdx: DataFrame, url: str, buckets: int | None = None) -> DataFrame:
+    return _rows_of(cdx, url, buckets).select("timestamp").orderBy(F.desc("timestamp"))
 
 
-def first_capture(cdx: DataFrame, url: str) -> DataFrame:
-    return cdx.filter(F.col("original") == url).agg(F.min("timestamp").alias("first_timestamp"))
+def first_capture(cdx: DataFrame, url: str, buckets: int | None = None) -> DataFrame:
+    return _rows_of(cdx, url, buckets).agg(F.min("timestamp").alias("first_timestamp"))
+
+
+def _held(cdx: DataFrame, urls: DataFrame, buckets: int | None) -> DataFrame:
+    """Index rows of some URLs (column original)."""
+    return cdx.join(urls.distinct(), "original", "left_semi") if buckets is None else lookup_cdx(cdx, urls, buckets)
 
 
 def last_event_wins(cdx: DataFrame) -> DataFrame:
@@ -102,8 +118,12 @@ def approx_host_counts(cdx: DataFrame) -> DataFrame:
     )
 
 
+def _is_http_response() -> Column:
+    return (F.col("rec_type") == "response") & F.col("content_type").contains("application/http")
+
+
 def http_responses(records: DataFrame) -> DataFrame:
-    return records.filter((F.col("rec_type") == "response") & F.col("content_type").contains("application/http"))
+    return records.filter(_is_http_response())
 
 
 def indexable_record(records: DataFrame, max_url: int | None = None) -> DataFrame:
@@ -140,9 +160,10 @@ def warc_stats(records: DataFrame) -> DataFrame:
     )
 
 
-def available_in_index(docs: DataFrame, cdx: DataFrame) -> DataFrame:
+def available_in_index(docs: DataFrame, cdx: DataFrame, buckets: int | None = None) -> DataFrame:
     """Documents whose exact URL and time are captured, revisits not counting."""
-    held = cdx.filter(F.col("mimetype") != REVISIT_MIME).select(
+    rows = _held(cdx, docs.select(F.col("document_url").alias("original")), buckets)
+    held = rows.filter(F.col("mimetype") != REVISIT_MIME).select(
         F.col("original").alias("document_url"), F.col("timestamp").alias("wayback_timestamp")
     )
     return docs.join(held, ["document_url", "wayback_timestamp"], "left_semi")
@@ -152,32 +173,31 @@ def _pick(key: Column, rate: int) -> Column:
     return F.conv(F.substr(F.md5(key), F.lit(1), F.lit(8)), 16, 10).cast("bigint") % rate == 0
 
 
-def verify_index(records: DataFrame, cdx: DataFrame, rate: int = 500, limit: int = 10) -> DataFrame:
-    """Spot-check each WARC against the index.
-
-    The first indexable record and about one in ``rate`` of the others are
-    looked up, ``limit`` per WARC at most. The choice is a hash, so a re-run
-    checks the same records. ``verified`` is NULL for a WARC with no records.
-    """
+def spot_checks(records: DataFrame, rate: int = 500, limit: int = 10) -> DataFrame:
+    """The first indexable record of each WARC and about one in ``rate`` of the others,
+    ``limit`` per WARC at most. The choice is a hash, so a re-run checks the same records."""
     rows = records.withColumn("_ts", F.substr(F.regexp_replace("warc_date", "[^0-9]", ""), F.lit(1), F.lit(14)))
     usable = indexable_record(rows).select("filename", "offset", "target_uri", "_ts")
     first = usable.groupBy("filename").agg(F.min(F.struct("offset", "target_uri", "_ts")).alias("r")).select("filename", "r.*")
     some = usable.filter(_pick(F.concat_ws("|", "filename", "offset"), rate))
     w = Window.partitionBy("filename").orderBy("offset")
-    tried = (
-        first.unionByName(some).distinct().withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= limit)
-    )
-    held = cdx.select(F.col("original").alias("target_uri"), F.col("timestamp").alias("_ts"), F.lit(True).alias("_hit")).distinct()
+    return first.unionByName(some).distinct().withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= limit)
+
+
+def verify_index(records: DataFrame, cdx: DataFrame, rate: int = 500, limit: int = 10, buckets: int | None = None) -> DataFrame:
+    """Looks the :func:`spot_checks` of each WARC up in the index; ``untried`` says
+    how many indexable records were not looked up."""
+    # A few rows per WARC, looked up first and read again for the counts.
+    tried = cut_lineage(spot_checks(records, rate, limit))
+    held = _held(cdx, tried.select(F.col("target_uri").alias("original")), buckets)
+    held = held.select(F.col("original").alias("target_uri"), F.col("timestamp").alias("_ts"), F.lit(True).alias("_hit")).distinct()
     checked = tried.join(held, ["target_uri", "_ts"], "left").groupBy("filename").agg(
         F.count("*").alias("tries"), F.count_if("_hit").alias("hits")
     )
-    return (
-        rows.groupBy("filename").agg(F.count("*").alias("records")).join(checked, "filename", "left")
-        .select(
-            "filename", "records", F.coalesce("tries", F.lit(0)).alias("tries"), F.coalesce("hits", F.lit(0)).alias("hits"),
-            (F.coalesce("tries", F.lit(0)) == F.coalesce("hits", F.lit(0))).alias("verified"),
-        )
-    )
+    all_rows = records.groupBy("filename").agg(F.count("*").alias("records"), F.count_if(_is_http_response()).alias("indexable"))
+    tries, hits = F.coalesce("tries", F.lit(0)), F.coalesce("hits", F.lit(0))
+    return all_rows.join(checked, "filename", "left").select(
+        "filename", "records", tries.alias("tries"), hits.alias("hits"), (F.col("indexable") - tries).alias("untried"), (tries == hits).alias("verified"))
 
 
 def launch_latency(launches: DataFrame, cdx: DataFrame, now: Column, bucket_seconds: int = 86400) -> DataFrame:

@@ -8,6 +8,7 @@ from ..functions import urls as U
 from ..operators import harvest as ops
 from ..operators.captures import available_in_index
 from . import frames as fx
+from .capture_queries import cdx_table, with_misses
 from .registry import query
 
 _DOC_NAME = r"regexp_extract(regexp_replace(split_part(split_part(url, '#', 1), '?', 1), '^dns:', ''), '([^/]*)$', 1)"
@@ -61,9 +62,10 @@ def jn_3(spark, sf):
 
 
 @query("jn_4_available_in_index", f"""
-SELECT document_url, wayback_timestamp FROM {_DOCS} d WHERE EXISTS (SELECT 1 FROM fx_cdx c WHERE c.original = d.document_url AND c.timestamp = d.wayback_timestamp AND mimetype <> 'warc/revisit' AND "offset" % 3000 <> 0)""")
+SELECT document_url, wayback_timestamp FROM {_DOCS} d WHERE EXISTS (SELECT 1 FROM fx_cdx c WHERE CASE WHEN "offset" % 3000 = 0 THEN original || '#gone' ELSE original END = d.document_url AND c.timestamp = d.wayback_timestamp AND mimetype <> 'warc/revisit')""")
 def jn_4(spark, sf):
-    return available_in_index(documents(spark, sf), fx.cdx(spark, sf).filter("offset % 3000 <> 0")).select("document_url", "wayback_timestamp")
+    index = cdx_table(spark, sf, with_misses(fx.cdx(spark, sf)))
+    return available_in_index(documents(spark, sf), index, buckets=16).select("document_url", "wayback_timestamp")
 
 
 _NOW = "2024-04-10 00:00:00"

@@ -174,5 +174,4 @@ def snk_3_lookup(spark, sf):
     rows = fx.cdx(spark, sf)
     write_cdx(rows, base, "b1", buckets=16)
     wanted = fx.pages(spark, sf).filter("page_id % 10 = 0").select(F.col("url").alias("original"))
-    urls = rows.select("original", "urlkey").join(wanted, "original", "left_semi").distinct()
-    return lookup_cdx(spark.read.parquet(base), urls, 16).select("urlkey", "timestamp", "offset", "filename")
+    return lookup_cdx(spark.read.parquet(base), wanted, 16).select("urlkey", "timestamp", "offset", "filename")
