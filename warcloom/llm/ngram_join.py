@@ -41,7 +41,7 @@ from .components import components
 from .shingles import set_name, shingle_sets
 
 #: Shingles a task holds before it reports the frequent ones among them.
-_COUNT_BLOCK = 4_000_000
+_COUNT_BLOCK = 1_000_000
 _MOST_FREQUENT = 1_000_000
 _FREQUENT_FROM = 8
 #: Bits of the filters that keep shingles and texts without any candidate out of the shuffles.
@@ -267,6 +267,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         postings(bits).join(shared, "shingle", "left_semi")
         .groupBy("shingle", "grp", "n", "pos").agg(F.min("cls").alias("low"), F.max("cls").alias("high"))
     )
+    bits.unpersist()
     several = lists.where("pos = 0 AND low <> high").select("grp").distinct()
     meeting = lists.groupBy("shingle").agg(
         F.min(F.struct("pos", "n", "grp")).alias("pivot"), F.min("grp").alias("first"), F.max("grp").alias("last")
@@ -284,7 +285,9 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         bits = spark.sparkContext.broadcast(_bit_filter(groups, "grp"))
         rows = plain.select("text").mapInArrow(
             lambda it: _members(it, order.value, bits.value), "grp long, cls long, n long, shingles binary")
-        return cut_lineage(rows.dropDuplicates(["cls"]))
+        found = cut_lineage(rows.dropDuplicates(["cls"]))
+        bits.unpersist()
+        return found
 
     members = sets_of(star.select("g").union(star.select("h")).union(several).toDF("grp"))
     heads = members.groupBy("grp").agg(F.min("cls").alias("head"))
@@ -323,6 +326,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     within = inner.join(inner.toDF("grp", "cls2", "label2"), "grp").where("cls < cls2 AND label <> label2").select(
         F.col("cls").alias("a"), F.col("cls2").alias("b"))
     more = sets_of(rest.select("g").union(rest.select("h")).union(several).toDF("grp"))
+    order.unpersist()
     ids = more.select("grp", "cls")
     across = rest.join(ids.toDF("g", "a"), "g").join(ids.toDF("h", "b"), "h").select("a", "b")
     return texts, cut_lineage(links.union(_verify(across.union(within), more)))
