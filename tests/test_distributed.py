@@ -182,3 +182,36 @@ def test_search_documents_text(spark):
     notes = spark.createDataFrame([("http://e.example/", "C|D")], "url string, collection string")
     row = pages.search_documents(recs, notes, spark.createDataFrame([("http://(example,e,",)], "surt string")).first()
     assert (row.text, row.collection, row.open_access) == ("Hi there", "C|D", True)
+
+
+def test_trace_captures_like_a_plain_walk(spark):
+    """The capture nearest to the wanted time decides where a URL leads; cycles and missing records end a chain."""
+    from urllib.parse import urljoin
+
+    rnd = random.Random(11)
+    urls = [f"http://x/{i}" for i in range(12)]
+    rows = [(rnd.choice(urls), f"202401{rnd.randrange(1, 29):02d}000000", "w", i, rnd.choice([200, 301, 302, 404]), rnd.choice([f"/{rnd.randrange(14)}", None])) for i in range(40)]
+    records = {(f, o): (s, loc) for _, _, f, o, s, loc in rows if o % 9}
+    starts = [(rnd.choice(urls), datetime(2024, 1, rnd.randrange(1, 29))) for _ in range(8)]
+    want = set()
+    for start, at in set(starts):
+        url, hop, seen = start, 0, set()
+        while url and url not in seen:
+            seen.add(url)
+            held = sorted((t, f, o) for u, t, f, o, _, _ in rows if u == url)
+            hit = next((h for h in held if h[0] >= at.strftime("%Y%m%d%H%M%S")), held[-1] if held else None)
+            status, location = records.get((hit[1], hit[2]), (None, None)) if hit else (None, None)
+            want.add((start, at, hop, url, hit[0] if hit else None, hit[2] if hit else None, status))
+            url = urljoin(url, location) if status in (301, 302) and location else None
+            hop += 1
+    cdx = spark.createDataFrame([r[:4] for r in rows], "original string, timestamp string, filename string, offset long")
+    frame = spark.createDataFrame([(f, o, s, loc) for (f, o), (s, loc) in records.items()], "filename string, offset long, http_status int, location string")
+    got = set()
+    for start, at in set(starts):
+        one = captures.trace_captures(spark.createDataFrame([(start, at)], "url string, target_ts timestamp"), cdx, frame)
+        got |= {(r.start, at, r.hop, r.url, r.timestamp, r.offset, r.http_status) for r in one.collect()}
+        break
+    assert got == {w for w in want if (w[0], w[1]) == (start, at)}
+    first = {s: t for s, t in reversed(starts)}
+    many = captures.trace_captures(spark.createDataFrame(list(first.items()), "url string, target_ts timestamp"), cdx, frame)
+    assert {(r.start, first[r.start], r.hop, r.url, r.timestamp, r.offset, r.http_status) for r in many.collect()} == {w for w in want if first[w[0]] == w[1]}

@@ -211,3 +211,22 @@ def test_path_with_bar_or_without_folders(spark):
     rows = spark.createDataFrame([("/a|b/c",), ("name",), ("",), ("/x/y.warc.gz",)], "path string").select(classify_path(F.col("path")).alias("f"))
     got = [r.f for r in rows.collect()]
     assert [(g.collection, g.stream, g.recognised) for g in got] == [("a|b", None, False), (None, None, False), (None, None, False), ("x", None, False)]
+
+
+@pytest.mark.parametrize(("url", "want"), [
+    ("http://e.com/a/../b/./c//d/..", "com,e)/b/c"), ("http://e.com/../..", "com,e)/"), ("http://e.com/a%2520b", "com,e)/a%20b"),
+    ("http://e.com/a%25252Fb", "com,e)/a/b"), ("http://e.com/%zz%", "com,e)/%25zz%25"), ("http://e.com/%C3%A9 x", "com,e)/%c3%a9%20x"),
+    ("http://e.com/\u00e9\U0001f600", "com,e)/%c3%a9%f0%9f%98%80"), ("http://e.com/x;jsessionid=" + "aB" * 16 + "?q=1", "com,e)/x?q=1"),
+    ("http://e.com/x?b=2&sid=" + "0a" * 16 + "&a=%31", "com,e)/x?a=1&b=2"), ("http://e.com/x?sid=short&a=1", "com,e)/x?a=1&sid=short"),
+    ("http://e.com/x?CFID=1&CFTOKEN=2", "com,e)/x"), ("http://e.com/(" + "a" * 24 + ")/p.aspx", "com,e)/p.aspx"), ("http://e.com/?q=a%2Bb+c", "com,e)/?q=a+b+c"),
+])
+def test_odd_urls_have_one_key(spark, url, want):
+    assert one(spark, url, U.surt_canonical) == want
+
+
+def test_registered_domains_by_suffix_rules(spark):
+    hosts = {"www.example.com.au": "example.com.au", "com.au": None, "a.b.c.ck": "b.c.ck", "foo.ck": None, "www.ck": "www.ck", "x.www.ck": "www.ck", "example.com": "example.com",
+             "x.unknown": "x.unknown", "localhost": None, None: None, "A.CO.UK.": "a.co.uk", "1.2.3.4": None}
+    rules = U.suffix_rules(spark.createDataFrame([(x,) for x in ["com", "au", "com.au", "*.ck", "!www.ck", "uk", "co.uk note", "// x", ""]], "value string"))
+    rows = U.with_registered_domain(spark.createDataFrame([(h,) for h in hosts] * 2, "host string"), rules).collect()
+    assert len(rows) == 2 * len(hosts) and {r.host: r.domain for r in rows} == hosts

@@ -154,9 +154,15 @@ def test_curation_export(spark, tmp_path):
     assert sorted((r.collection_id, r.target_id) for r in pairs.collect()) == [(9, 1), (9, 2)]
 
 
-def test_flatten_tree(spark):
-    nested = spark.createDataFrame([(1, [(2, [(3,)])])], "id long, children array<struct<id:long,children:array<struct<id:long>>>>")
-    assert sorted((r.id, r.parent_id) for r in curation.flatten_tree(nested, 3).collect()) == [(1, None), (2, 1), (3, 2)]
+def test_flatten_tree_of_any_depth(spark):
+    deep = {"id": 12}
+    for i in range(11, 2, -1):
+        deep = {"id": i, "name": f"n{i}", "children": [deep]}
+    trees = [json.dumps({"id": 1, "name": "a", "children": [{"id": 2, "children": []}, deep]}), json.dumps([{"id": 20}, {"id": 21, "children": None}]), None]
+    rows = curation.flatten_tree(spark.createDataFrame([(t,) for t in trees], "tree string"), "id long, name string").collect()
+    want = [(1, None, 0), (2, 1, 1), (3, 1, 1), *[(i, i - 1, i - 2) for i in range(4, 13)], (20, None, 0), (21, None, 0)]
+    assert sorted((r.id, r.parent_id, r.depth) for r in rows if r.id) == want
+    assert {r.id: r.name for r in rows}[7] == "n7"
 
 
 def test_harvest_state_and_har(spark, tmp_path):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import UK_SECOND_LEVEL, UK_SUFFIXES
@@ -65,6 +65,39 @@ def registered_domain(host: Column, registries: list[str] | None = None) -> Colu
     )
 
 
+def suffix_rules(lines: DataFrame, value: str = "value") -> DataFrame:
+    """(rule) of a public-suffix list: one rule a line up to the first space, ``//`` comments left out."""
+    rule = F.lower(F.regexp_extract(F.btrim(value), r"^(\S+)", 1))
+    return lines.select(rule.alias("rule")).filter((F.col("rule") != "") & ~F.col("rule").startswith("//")).distinct()
+
+
+def with_registered_domain(hosts: DataFrame, rules: DataFrame, host: str = "host", out: str = "domain") -> DataFrame:
+    """Adds the registrable domain by the longest matching rule of a suffix list.
+
+    A rule matches the end of a host label by label; ``*.`` stands for one label, and
+    ``!`` takes a name out of such a rule. Without a rule the last label is the
+    suffix. Addresses, null, and hosts that are a suffix themselves get NULL. Each distinct host
+    meets the rules by an equi-join on the forms of its ends.
+    """
+    distinct = hosts.select(F.col(host).alias("_host")).filter("_host IS NOT NULL").distinct().select("_host", F.split(F.lower(F.regexp_replace("_host", r"\.+$", "")), r"\.").alias("_labels"))
+
+    def tail(n: Column) -> Column:
+        return F.array_join(F.slice("_labels", F.size("_labels") - n + 1, n), ".")
+
+    n = F.col("_n")
+    ends = distinct.select("_host", "_labels", F.explode(F.sequence(F.lit(1), F.size("_labels"))).alias("_n"))
+    forms = F.array(
+        F.struct(tail(n).alias("rule"), n.alias("length"), F.lit(0).alias("taken_out")),
+        F.struct(F.concat(F.lit("*."), tail(n - 1)).alias("rule"), n.alias("length"), F.lit(0).alias("taken_out")),
+        F.struct(F.concat(F.lit("!"), tail(n)).alias("rule"), (n - 1).alias("length"), F.lit(1).alias("taken_out")))
+    matched = ends.select("_host", F.explode(forms).alias("_f")).select("_host", "_f.*").join(rules.select("rule").distinct(), "rule")
+    best = matched.groupBy("_host").agg(F.max(F.struct("taken_out", "length")).alias("_best"))
+    size = F.coalesce(F.col("_best.length"), F.lit(1))
+    found = distinct.join(best, "_host", "left").select(
+        "_host", F.when((F.size("_labels") > size) & ~F.col("_host").rlike(r"^[0-9.]+$|:"), F.array_join(F.slice("_labels", F.size("_labels") - size, size + 1), ".")).alias(out))
+    return hosts.join(found, hosts[host] == found["_host"], "left").drop("_host")
+
+
 def uk_scope(url: Column) -> Column:
     """Which UK ending the authority has, or ``not_uk``."""
     netloc = url_netloc(url)
@@ -103,28 +136,76 @@ def surt_host_prefixes(url: Column) -> Column:
     )
 
 
+def _decoded(text: Column) -> Column:
+    """Percent-escapes of ASCII characters undone until none is left; others in lower case.
+
+    A pass undoes all of them at once; ``%25`` may set a new one free, so there are
+    as many passes as ``25`` occurs, and one.
+    """
+    def once(t: Column) -> Column:
+        kept = F.regexp_replace(t, "%(?![0-7][0-9A-Fa-f])", "%25")
+        return F.url_decode(F.replace(kept, F.lit("+"), F.lit("%2B")))
+
+    passes = 1 + ((F.length(text) - F.length(F.replace(text, F.lit("25"), F.lit("")))) / 2).cast("int")
+    return F.aggregate(F.sequence(F.lit(1), passes), text, lambda t, _: once(t))
+
+
+def _encoded(text: Column) -> Column:
+    """Escapes for white space, controls, what is not ASCII, and percent signs that escape nothing."""
+    signs = F.regexp_replace(F.replace(text, F.lit("#"), F.lit("%23")), "%(?!23|[89a-f][0-9a-f])", "%25")
+    each = F.transform(
+        F.regexp_extract_all(signs, F.lit("(?s)."), F.lit(0)),
+        lambda c: F.when((c > " ") & (c < "\u007f"), c).otherwise(F.replace(F.url_encode(c), F.lit("+"), F.lit("%20"))))
+    return F.lower(F.array_join(each, ""))
+
+
+def _without_dots(path: Column) -> Column:
+    """A path without empty, ``.`` and ``..`` segments; the last one may be empty."""
+    segments = F.split(F.substr(path, F.lit(2)), "/")
+    folders = F.filter(segments, lambda s, i: (i == F.size(segments) - 1) | ((s != "") & (s != ".")))
+    kept = F.aggregate(
+        folders, F.array().cast("array<string>"),
+        lambda acc, s: F.when(s == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.lit(0)))).otherwise(F.concat(acc, F.array(s))))
+    last = F.element_at(segments, -1)
+    return F.concat(F.lit("/"), F.array_join(F.when(last == ".", F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(0)))).otherwise(kept), "/"))
+
+
+# Session ids that do not belong to a key, in paths and in queries.
+_PATH_SESSIONS = [(r"^(.*/)(?:\((?:[a-z]\([0-9a-z]{24}\))+\)|\([0-9a-z]{24}\))/([^?]+\.aspx.*)$", "$1$2"), (r"^(.*?);jsessionid=[0-9a-z]{32}(.*)$", "$1$2")]
+_QUERY_SESSIONS = r"(^|&)(?:(?:jsessionid|phpsessid|sid)=[0-9a-z]{32}|aspsessionid[a-z]{8}=[a-z]{24}|cfid=[^&]+&cftoken=[^&]+)(?=&|$)"
+_ODD_PATH = r"%|//|/\.|;jsessionid=|/\(|[^\x21-\x7e]"
+_ODD_QUERY = r"%|sid=|sessionid|cfid=|[^\x21-\x7e]"
+
+
 def surt_canonical(url: Column) -> Column:
     """Canonical index key, e.g. ``com,example)/path?a=1&b=2``.
 
-    Lower-cases, drops scheme, user info, ``www``, default ports, fragment and
-    the trailing slash, and orders query arguments by name then value.
-    ``dns:`` and other schemes without an authority pass through lower-cased.
-    Percent-escapes are not rewritten and no session-id patterns are removed.
+    Lower-cases, drops scheme, user info, ``www``, default ports, fragment, session
+    ids and the trailing slash, undoes escapes of ASCII characters, escapes what a
+    URL may not hold, folds dot segments, and orders query arguments by name then
+    value. ``dns:`` and other schemes without an authority pass through lower-cased.
     """
     text = F.lower(F.substring_index(F.trim(url), "#", 1))
     host = F.regexp_extract(text, _BARE_HOST, 1)
     port = F.regexp_extract(text, _PORT, 1)
     default_port = F.when(text.startswith("https:"), F.lit(":443")).otherwise(F.lit(":80"))
     port = F.when(port == default_port, F.lit("")).otherwise(port)
-    path = F.rtrim(F.regexp_extract(text, _AUTHORITY + r"([^?#]*)", 2), F.lit("/"))
+    path = F.regexp_extract(text, _AUTHORITY + r"([^?#]*)", 2)
+    mended = _without_dots(F.lower(_decoded(path)))
+    for pattern, rest in _PATH_SESSIONS:
+        mended = F.regexp_replace(mended, pattern, rest)
+    path = F.rtrim(F.when(path.rlike(_ODD_PATH), _encoded(mended)).otherwise(path), F.lit("/"))
     path = F.when(path == "", F.lit("/")).otherwise(path)
+    asked = F.substr(text, F.locate("?", text) + 1)
+    arguments = F.regexp_replace(F.regexp_replace(F.lower(_decoded(asked)), _QUERY_SESSIONS, ""), "^&", "")
+    asked = F.when(asked.rlike(_ODD_QUERY), _encoded(arguments)).otherwise(asked)
     # The mark sorts below every character, so whole arguments sort by name first.
-    marked = F.regexp_replace(F.substr(text, F.locate("?", text) + 1), r"(^|&)([^=&]*)=", "$1$2\u0001")
+    marked = F.regexp_replace(asked, r"(^|&)([^=&]*)=", "$1$2\u0001")
     ordered = F.translate(F.array_join(F.sort_array(F.split(marked, "&")), "&"), "\u0001", "=")
     query = (
-        F.when(~text.contains("?") | text.endswith("?"), F.lit(""))
-        .when(text.contains("&"), F.concat(F.lit("?"), ordered))
-        .otherwise(F.substr(text, F.locate("?", text)))
+        F.when(~text.contains("?") | (asked == ""), F.lit(""))
+        .when(asked.contains("&"), F.concat(F.lit("?"), ordered))
+        .otherwise(F.concat(F.lit("?"), asked))
     )
     key = F.concat(_reversed_labels(host), port, F.lit(")"), path, query)
     return F.when(text.rlike(_AUTHORITY + "(?<=[^/])"), key).otherwise(text)

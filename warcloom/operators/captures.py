@@ -260,3 +260,33 @@ def follow_redirects(starts: DataFrame, redirects: DataFrame, max_rounds: int =
             return visited if visited is not None else frontier
         visited = frontier if visited is None else visited.unionByName(frontier)
     raise RuntimeError(f"redirects still growing after {max_rounds} rounds")
+
+
+def trace_captures(starts: DataFrame, cdx: DataFrame, records: DataFrame, max_rounds: int = 1000) -> DataFrame:
+    """(start, hop, url, timestamp, filename, offset, http_status, location): how captures redirect from each start.
+
+    starts: url, target_ts. At each hop the nearest capture of the URL is looked up
+    (:func:`nearest_capture`), then its record (filename, offset), whose Location
+    leads on while the status is a redirect. A URL without a capture or a record ends
+    its chain as a row of NULLs. No URL is visited twice for one start.
+    """
+    frontier = cut_lineage(starts.select(F.col("url").alias("start"), "url", "target_ts").distinct())
+    told, visited = None, frontier.select("start", "url")
+    held = records.select("filename", "offset", "http_status", "location")
+    for hop in range(max_rounds):
+        wanted = frontier.select("url", "target_ts").distinct()
+        nearest = nearest_capture(wanted, cdx.join(wanted.select(F.col("url").alias("original")).distinct(), "original", "left_semi"))
+        found = nearest.join(held, ["filename", "offset"], "left")
+        level = cut_lineage(
+            frontier.join(found, ["url", "target_ts"])
+            .select("start", F.lit(hop).alias("hop"), "url", "target_ts", "timestamp", "filename", "offset", "http_status", "location"))
+        told = level if told is None else told.unionByName(level)
+        onward = level.filter(F.col("http_status").between(300, 399) & F.col("location").isNotNull()).select(
+            "start", U.resolve_redirect(F.col("url"), F.col("location")).alias("url"), "target_ts").distinct()
+        frontier = cut_lineage(onward.join(visited, ["start", "url"], "left_anti"))
+        if frontier.isEmpty():
+            return told.drop("target_ts")
+        visited = visited.unionByName(frontier.select("start", "url"))
+        if hop % 10 == 9:
+            told, visited = cut_lineage(told), cut_lineage(visited)
+    raise RuntimeError(f"redirects still growing after {max_rounds} rounds")

@@ -200,3 +200,23 @@ WITH RECURSIVE reached(start, url) AS (SELECT url, resolved FROM fx_redirects UN
 SELECT start, url FROM reached""")
 def jn_19(spark, sf):
     return ops.follow_redirects(fx.pages(spark, sf), fx.redirects(spark, sf))
+
+
+@query("jn_19_trace_captures", """
+WITH RECURSIVE walk(start, hop, url, seen) AS (
+  SELECT url, 0, url, [url] FROM fx_redirects
+  UNION ALL SELECT w.start, w.hop + 1, x.resolved, list_append(seen, x.resolved) FROM walk w JOIN fx_redirects x ON x.url = w.url JOIN fx_pages s ON s.url = w.start
+  WHERE s.page_id % 2 = 0 AND NOT list_contains(seen, x.resolved))
+SELECT w.start, w.hop, w.url, CASE WHEN p.page_id IS NULL THEN NULL WHEN s.page_id % 2 = 0 THEN '20240101000000' ELSE '20240201000000' END AS timestamp,
+       p.page_id * 10 + s.page_id % 2 AS "offset", CASE WHEN p.page_id IS NULL THEN NULL WHEN s.page_id % 2 = 0 THEN 302 ELSE 200 END AS http_status
+FROM walk w JOIN fx_pages s ON s.url = w.start LEFT JOIN fx_pages p ON p.url = w.url""")
+def jn_19_captures(spark, sf):
+    """Every page was captured twice: first it redirected, later it did not. Half of the starts ask for the first time."""
+    hops = fx.redirects(spark, sf).join(fx.pages(spark, sf).select("url", "page_id"), "url")
+    late = F.explode(F.array(F.lit(0), F.lit(1))).alias("late")
+    both = hops.select("url", "location", "page_id", late)
+    place = both.withColumns({"filename": F.lit("w.warc.gz"), "offset": F.col("page_id") * 10 + F.col("late")})
+    cdx = place.select(F.col("url").alias("original"), F.when(F.col("late") == 0, "20240101000000").otherwise("20240201000000").alias("timestamp"), "filename", "offset")
+    records = place.select("filename", "offset", F.when(F.col("late") == 0, 302).otherwise(200).alias("http_status"), F.when(F.col("late") == 0, F.col("location")).alias("location"))
+    starts = fx.pages(spark, sf).select("url", F.when(F.col("page_id") % 2 == 0, "2024-01-01").otherwise("2024-01-15").cast("timestamp").alias("target_ts"))
+    return ops.trace_captures(starts, cdx, records).select("start", "hop", "url", "timestamp", "offset", "http_status")

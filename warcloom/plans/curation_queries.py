@@ -51,6 +51,24 @@ def fn_32(spark, sf):
     return hosts.select("id", "host", U.registered_domain(F.col("host")).alias("domain"))
 
 
+_SUFFIX_LINES = ["// rules", "com", "org", "au", "com.au", "uk", "co.uk  ", "*.ck", "!www.ck", ""]
+
+
+@query("fn_32_public_suffixes", """
+SELECT id, host, CASE WHEN id % 6 = 4 THEN NULL WHEN id % 6 = 5 THEN 'www.ck' ELSE regexp_replace(host, '^www\\.', '') END AS domain FROM (
+  SELECT id, CASE id % 6 WHEN 0 THEN 'www.' || l || '.com.au' WHEN 1 THEN 'www.' || l || '.co.uk' WHEN 2 THEN 'www.' || l || '.x' || id || '.ck'
+     WHEN 3 THEN 'www.' || l || '.nowhere' WHEN 4 THEN 'x' || l || '.ck' ELSE l || '.www.ck' END AS host
+  FROM (SELECT id, string_split(host, '.')[1] AS l FROM fx_targets))""")
+def fn_32_suffixes(spark, sf):
+    """Hosts under plain, wildcard and exception rules, and under none."""
+    i, label = F.col("id"), F.element_at(F.split("host", r"\."), 1)
+    forms = [("www.", ".com.au"), ("www.", ".co.uk"), ("www.", None), ("www.", ".nowhere"), ("x", ".ck"), ("", ".www.ck")]
+    hosts = [F.concat(F.lit(a), label, F.concat(F.lit(".x"), i.cast("string"), F.lit(".ck")) if b is None else F.lit(b)) for a, b in forms]
+    frame = fx.targets(spark, sf).select("id", F.element_at(F.array(*hosts), (i % 6 + 1).cast("int")).alias("host"))
+    rules = U.suffix_rules(spark.createDataFrame([(line,) for line in _SUFFIX_LINES], "value string"))
+    return U.with_registered_domain(frame, rules)
+
+
 @query("fn_33_uk_scope", r"""
 SELECT id, u, CASE WHEN suffix IN ('uk', 'london', 'wales', 'cymru', 'scot') THEN '.' || suffix ELSE 'not_uk' END AS scope
 FROM (SELECT id, u, regexp_extract(u, '\.([a-z]+)/', 1) AS suffix FROM (SELECT id, unnest(urls) AS u FROM fx_targets) WHERE u NOT LIKE '%example%'

@@ -61,6 +61,18 @@ def fn_11(spark, sf):
     return fx.pages(spark, sf).select("page_id", U.surt_canonical(F.col("url")).alias("surt"))
 
 
+_ODD_URLS = ["/a/../b/.//C", "/a%2520b+%C3%89", "/x;jsessionid={id}?q=1", "/x?b=2&sid={id}&a=%31", "/\u00e9 x/..%2Fy", "/%zz/%41?PHPSESSID={id}"]
+_ODD_KEYS = ["/b/c", "/a%20b+%c3%89", "/x?q=1", "/x?a=1&b=2", "/y", "/%25zz/a"]
+
+
+@query("fn_11_surt_of_odd_urls", f"""
+SELECT page_id, split_part(surt, ')', 1) || ')' || CASE page_id % 6 {' '.join(f"WHEN {i} THEN '{k}'" for i, k in enumerate(_ODD_KEYS))} END AS surt FROM fx_pages""")
+def fn_11_odd(spark, sf):
+    """Dot segments, nested escapes and session ids on every host."""
+    rest = F.replace(F.element_at(F.array(*[F.lit(u) for u in _ODD_URLS]), (F.col("page_id") % 6 + 1).cast("int")), F.lit("{id}"), F.md5("url"))
+    return fx.pages(spark, sf).select("page_id", U.surt_canonical(F.concat(F.lit("http://"), F.col("host"), rest)).alias("surt"))
+
+
 @query("fn_12_surt_authority", """
 SELECT page_id, 'http://(' || array_to_string(list_reverse(string_split(host, '.')), ',') || ',' AS surt FROM fx_pages""")
 def fn_12(spark, sf):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import DOCUMENT, TARGET
+from ..session import cut_lineage
 
 
 def read_targets(spark: SparkSession, path: str, schema: T.StructType = TARGET) -> DataFrame:
@@ -36,17 +37,30 @@ def read_curation(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame,
     return rows("targets"), collections.drop("target_ids"), pairs, rows("subjects")
 
 
-def flatten_tree(nested: DataFrame, depth: int) -> DataFrame:
-    """Nested children arrays to (id, parent_id, ...) rows, ``depth`` levels deep."""
-    keep = [c for c in nested.columns if c != "children"]
-    level = nested.withColumn("parent_id", F.lit(None).cast("bigint"))
-    out = level.select(*keep, "parent_id")
-    for _ in range(depth - 1):
-        if "children" not in level.columns:
-            break
-        level = level.select(F.col("id").alias("parent_id"), F.explode("children").alias("c")).select("c.*", "parent_id")
-        out = out.unionByName(level.select(*keep, "parent_id"))
-    return out
+def flatten_tree(trees: DataFrame, fields: str, tree: str = "tree", children: str = "children") -> DataFrame:
+    """(id, parent_id, depth, fields...) of the nodes of nested JSON, however deep.
+
+    ``tree`` holds a node or a list of nodes as text; ``fields`` is a schema like
+    "id long, name string". Each level is one step on variant values, so no depth has
+    to be known; text that is no JSON is an error.
+    """
+    names = [f.name for f in T.StructType.fromDDL(fields)]
+    types = {f.name: f.dataType.simpleString() for f in T.StructType.fromDDL(fields)}
+    whole = F.parse_json(F.col(tree))
+    listed = F.when(F.schema_of_variant(whole).startswith("ARRAY"), F.variant_get(whole, "$", "array<variant>")).otherwise(F.array(whole))
+    level = trees.select(F.explode(listed).alias("node"), F.lit(None).cast(types["id"]).alias("parent_id"))
+    out, depth = None, 0
+    while True:
+        level = cut_lineage(level)
+        if depth and level.isEmpty():
+            return out
+        node = F.col("node")
+        rows = level.select(*[F.variant_get(node, f"$.{n}", types[n]).alias(n) for n in names], "parent_id", F.lit(depth).alias("depth"))
+        out = rows if out is None else out.unionByName(rows)
+        level = level.select(
+            F.explode(F.variant_get(node, f"$.{children}", "array<variant>")).alias("inner"), F.variant_get(node, "$.id", types["id"]).alias("parent_id")
+        ).select(F.col("inner").alias("node"), "parent_id")
+        depth += 1
 
 
 def read_harvest_state(spark: SparkSession, folder: str) -> DataFrame:
