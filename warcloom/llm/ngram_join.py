@@ -157,23 +157,33 @@ def _members(batches: Iterator[pa.RecordBatch], order: _Order, wanted: np.ndarra
     for batch in batches:
         rows: list[tuple] = []
         seen: set[int] = set()
-        for s in shingle_sets(batch.column("text").to_pylist()):
-            if not len(s):
-                continue
-            group = _group_name(order.prefix(s), len(s))
-            if not _passed(wanted, np.array([group], np.int64).view(np.uint64))[0]:
-                continue
-            name = set_name(s)
-            if name not in seen:  # copies within the batch are one class
-                seen.add(name)
-                rows.append((group, name, len(s), s.tobytes()))
-        for start in range(0, max(len(rows), 1), 1000):
-            piece = rows[start:start + 1000]
-            yield pa.record_batch({
-                "grp": pa.array([r[0] for r in piece], pa.int64()), "cls": pa.array([r[1] for r in piece], pa.int64()),
-                "n": pa.array([r[2] for r in piece], pa.int64()), "shingles": pa.array([r[3] for r in piece], pa.binary()),
+        held = 0
+
+        def out() -> pa.RecordBatch:
+            return pa.record_batch({
+                "grp": pa.array([r[0] for r in rows], pa.int64()), "cls": pa.array([r[1] for r in rows], pa.int64()),
+                "n": pa.array([len(r[2]) for r in rows], pa.int64()), "shingles": pa.array([r[2].tobytes() for r in rows], pa.binary()),
             })
 
+        # Sets leave in pieces of a few megabytes: a batch of long texts has sets larger than itself.
+        for start in range(0, batch.num_rows, 1000):
+            for s in shingle_sets(batch.column("text").slice(start, 1000).to_pylist()):
+                if not len(s):
+                    continue
+                group = _group_name(order.prefix(s), len(s))
+                if not _passed(wanted, np.array([group], np.int64).view(np.uint64))[0]:
+                    continue
+                name = set_name(s)
+                if name not in seen:  # copies within the batch are one class
+                    seen.add(name)
+                    rows.append((group, name, s))
+                    held += len(s)
+                    if held > 400_000:
+                        yield out()
+                        rows, held = [], 0
+        if rows:
+            yield out()
+
 
 def _passed(bits: np.ndarray, names: np.ndarray) -> np.ndarray:
     slot = names >> np.uint64(64 - _FILTER_BITS)
