@@ -252,7 +252,8 @@ def test_append_new_keeps_first(spark, tmp_path):
 
 
 def test_task_event_and_sanity(spark):
-    event = tracking.task_event(spark, "cdx", "2020-01-01", "2020-01-01 00:00:00", "2020-01-01 00:01:30", params={"op": "x"}, metrics={"n": 4}).first()
+    runs = spark.sql("SELECT 'cdx' AS task, '2020-01-01' AS date, timestamp '2020-01-01 00:00:00' AS started, timestamp '2020-01-01 00:01:30' AS finished, 'success' AS status, map('op', 'x') AS params, map('n', 4L) AS metrics")
+    event = tracking.task_events(runs).first()
     assert (event.id, event.runtime_secs, event.metrics) == ("task:cdx:2020-01-01:op=x", 90.0, {"n": 4})
     bad = spark.createDataFrame([(0, 1)], "n int, d int")
     with pytest.raises(RuntimeError, match="zero"):

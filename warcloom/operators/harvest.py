@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -149,12 +151,23 @@ def next_batch(docs: DataFrame, n: int, now: Column, days: int = 90, seed: int =
     )
 
 
-def process_documents(batch: DataFrame, cdx: DataFrame, targets: DataFrame) -> DataFrame:
+def process_documents(
+    batch: DataFrame, cdx: DataFrame, targets: DataFrame, update: Callable[[DataFrame], DataFrame] | None = None, buckets: int | None = None,
+) -> DataFrame:
     """Updates for a batch: available documents become ACCEPTED with a target
-    or REJECTED without one; the rest are not returned and stay as they are."""
-    ready = available_in_index(batch, cdx).drop("target_id")
-    resolved = resolve_target(ready, targets)
-    return resolved.withColumn("status", F.when(F.col("target_id").isNull(), "REJECTED").otherwise("ACCEPTED"))
+    or REJECTED without one; the rest are not returned and stay as they are.
+
+    ``update`` replaces the look-up of targets: a function from the available
+    documents to those it decides on, with ``target_id`` and whatever else it
+    fills in. Documents it leaves out stay as they are. A ``status`` that it sets counts.
+    """
+    ready = available_in_index(batch, cdx, buckets).drop("target_id")
+    if update is None:
+        decided = resolve_target(ready, targets).drop("status")
+    else:
+        decided = update(ready.drop("status"))
+    outcome = F.when(F.col("target_id").isNull(), "REJECTED").otherwise("ACCEPTED")
+    return decided.withColumn("status", F.coalesce("status", outcome) if "status" in decided.columns else outcome)
 
 
 def document_urls(crawled: DataFrame, extensions: list[str] | None = None) -> DataFrame:

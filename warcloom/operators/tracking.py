@@ -259,18 +259,26 @@ def status_updates(items: DataFrame, status_field: str, status_value: str, seq:
     return items.select("id", F.lit(status_field).alias("field"), F.lit("add-distinct").alias("action"), F.lit(status_value).alias("value"), F.lit(seq).alias("seq"))
 
 
-def task_event(spark, name: str, date: str, started: str, finished: str, status: str = "success", params: dict[str, str] | None = None,
-               metrics: dict[str, int] | None = None) -> DataFrame:
-    """One task-event row; times as ISO text."""
-    text = ":".join(f"{k}={v}" for k, v in (params or {}).items())
-    entries = [x for k, v in (metrics or {}).items() for x in (F.lit(k), F.lit(v).cast("bigint"))]
-    return spark.range(1).select(
-        F.lit(f"task:{name}:{date}:{text}").alias("id"), F.lit("tasks").alias("kind_s"),
-        F.lit(started).cast("timestamp").alias("started_at_dt"), F.lit(finished).cast("timestamp").alias("finished_at_dt"),
-        F.lit(status).alias("task_status_s"),
-        (F.lit(finished).cast("timestamp").cast("double") - F.lit(started).cast("timestamp").cast("double")).alias("runtime_secs"),
-        (F.create_map(*entries) if entries else F.create_map().cast("map<string,bigint>")).alias("metrics"),
-    )
+def task_events(runs: DataFrame) -> DataFrame:
+    """Task-event records of a frame of runs.
+
+    runs: task, date, started and finished (timestamps), status, params
+    (map of texts), metrics (map of counts). The id holds the parameters in their
+    order; a run that has not finished has no runtime.
+    """
+    pairs = F.transform(F.map_entries(F.coalesce("params", F.create_map().cast("map<string,string>"))), lambda e: F.concat_ws("=", e["key"], e["value"]))
+    return runs.select(
+        F.concat_ws(":", F.lit("task"), "task", "date", F.array_join(pairs, ":")).alias("id"), F.lit("tasks").alias("kind_s"),
+        F.col("started").alias("started_at_dt"), F.col("finished").alias("finished_at_dt"), F.col("status").alias("task_status_s"),
+        ((F.unix_micros("finished") - F.unix_micros("started")) / F.lit(1_000_000.0)).alias("runtime_secs"),
+        F.coalesce("metrics", F.create_map().cast("map<string,bigint>")).alias("metrics"))
+
+
+def task_metrics(runs: DataFrame) -> DataFrame:
+    """(task, metric, total, last, runs): what a task's runs counted; runs as in :func:`task_events`."""
+    rows = runs.select("task", "finished", "date", F.explode("metrics").alias("metric", "n"))
+    return rows.groupBy("task", "metric").agg(
+        F.sum("n").alias("total"), F.max_by("n", F.struct("finished", "date", "n")).alias("last"), F.count("*").alias("runs"))
 
 
 def task_outcomes(events: DataFrame) -> DataFrame:

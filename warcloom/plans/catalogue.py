@@ -7,6 +7,7 @@ from . import (  # noqa: F401
     holding_queries,
     log_queries,
     page_queries,
+    reader_queries,
     stream_queries,
     tracking_queries,
     warc_queries,

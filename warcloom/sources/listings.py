@@ -31,6 +31,14 @@ def parse_lsr(lines: DataFrame, value: str = "value") -> DataFrame:
     )
 
 
+def rejected_lsr(lines: DataFrame, value: str = "value") -> DataFrame:
+    """Lines that are no listing row: fewer than eight fields, or a size or time that cannot be read."""
+    f = F.split(F.regexp_replace(F.col(value), r"^\s+|\s+$", ""), r"\s+", 8)
+    fits = (F.size(f) == 8) & F.get(f, F.lit(4)).try_cast("bigint").isNotNull() & F.try_to_timestamp(
+        F.concat_ws(" ", F.get(f, F.lit(5)), F.get(f, F.lit(6))), F.lit("yyyy-MM-dd HH:mm")).isNotNull()
+    return lines.filter((F.btrim(value) != "") & ~F.col(value).contains(_DEPRECATED) & ~fits).select(F.col(value).alias("value"), F.size(f).alias("n_fields"))
+
+
 def read_lsr(spark: SparkSession, path: str, directories: bool = False) -> DataFrame:
     rows = parse_lsr(spark.read.text(path))
     return rows if directories else rows.filter(~F.col("permissions").startswith("d"))
@@ -89,15 +97,26 @@ def read_object_inventory(inventory: DataFrame, bucket_prefix: str) -> DataFrame
     ).drop("aws")
 
 
-def read_block_scan(spark: SparkSession, path: str) -> DataFrame:
-    """Block-scan reports to (node, key, value), the node being the file name.
+_ONE_COLON = r"^[^:]*:[^:]*$"
+
+
+def _scan_lines(spark: SparkSession, path: str, node_pattern: str) -> DataFrame:
+    return spark.read.text(path).select(F.regexp_extract(F.input_file_name(), node_pattern, 1).alias("node"), "value")
+
+
+def rejected_block_scan(spark: SparkSession, path: str, node_pattern: str = r"([^/]*)$") -> DataFrame:
+    """(node, value) of the lines that are no "key : value", blank ones left out."""
+    return _scan_lines(spark, path, node_pattern).filter(~F.col("value").rlike(_ONE_COLON) & (F.btrim("value") != ""))
+
+
+def read_block_scan(spark: SparkSession, path: str, node_pattern: str = r"([^/]*)$") -> DataFrame:
+    """Block-scan reports to (node, key, value), the node being what the pattern
+    takes from the path: the file name, if none is given.
 
     Keys become snake case; percentages become fractions with ``_percent``,
     other values get ``_count`` unless they are rates in kbps.
     """
-    lines = spark.read.text(path).select(
-        F.regexp_extract(F.input_file_name(), r"([^/]*)$", 1).alias("node"), F.col("value")
-    ).filter(F.length(F.regexp_replace("value", "[^:]", "")) == 1)
+    lines = _scan_lines(spark, path, node_pattern).filter(F.col("value").rlike(_ONE_COLON))
     key = F.regexp_replace(F.lower(F.btrim(F.regexp_extract("value", "^([^:]*):", 1))), " ", "_")
     text = F.btrim(F.regexp_extract("value", ":(.*)$", 1))
     percent = text.endswith("%")
