@@ -46,7 +46,9 @@ def flatten_tree(trees: DataFrame, fields: str, tree: str = "tree", children: st
     """
     names = [f.name for f in T.StructType.fromDDL(fields)]
     types = {f.name: f.dataType.simpleString() for f in T.StructType.fromDDL(fields)}
-    whole = F.parse_json(F.col(tree))
+    # Parsed once, before what follows names it several times.
+    trees = cut_lineage(trees.select(F.parse_json(F.col(tree)).alias("whole")))
+    whole = F.col("whole")
     listed = F.when(F.schema_of_variant(whole).startswith("ARRAY"), F.variant_get(whole, "$", "array<variant>")).otherwise(F.array(whole))
     level = trees.select(F.explode(listed).alias("node"), F.lit(None).cast(types["id"]).alias("parent_id"))
     out, depth = None, 0
