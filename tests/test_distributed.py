@@ -148,9 +148,34 @@ def test_import_records_refuses_bad_ids(spark):
 
 
 def test_incremental_packages_put_final_last(spark):
-    s = spark.createDataFrame([("j", "l", "20200102000000"), ("j", "l", "final"), ("j", "l", "20200101000000")], "job string, launch string, stage string")
-    got = [r.stages for r in packaging.incremental_packages(s).orderBy("version").collect()]
-    assert got[-1] == ["20200101000000", "20200102000000", "final"] and [len(g) for g in got] == [1, 2, 3]
+    s = spark.createDataFrame([("j", "l", "20200102000000"), ("j", "l", "final"), ("j", "l", "20200101000000"), ("j", "l", "final"), ("k", "l", "final")], "job string, launch string, stage string")
+    got = {(r.job, r.stage): (r.first_version, r.last_version) for r in packaging.incremental_packages(s).collect()}
+    assert got == {("j", "20200101000000"): (1, 3), ("j", "20200102000000"): (2, 3), ("j", "final"): (3, 3), ("k", "final"): (1, 1)}
+
+
+def test_package_versions_hold_what_a_running_merge_holds(spark):
+    rnd = random.Random(5)
+    stages = [f"2020010{i}000000" for i in range(1, 6)] + ["final"]
+    items = [(rnd.choice("jk"), "l", rnd.choice(stages), "f", rnd.choice(["a", "b", None]), str(rnd.randrange(100))) for _ in range(60)]
+    scalars = [(rnd.choice("jk"), "l", s, "s", rnd.choice(["", None, str(rnd.randrange(9))])) for s in stages for _ in range(2)]
+    entries, last = packaging.package_merge(
+        spark.createDataFrame(items, "job string, launch string, stage string, field string, key string, value string"),
+        spark.createDataFrame(scalars, "job string, launch string, stage string, field string, value string"))
+    assert entries.count() <= len(items) and last.count() <= len(scalars)
+    for job in "jk":
+        own = [s for s in stages if any(r[0] == job and r[2] == s for r in [*items, *scalars])]
+        for version in range(1, len(own) + 1):
+            mapped, listed, scalar = {}, [], None
+            for stage in own[:version]:
+                here = [r for r in items if r[0] == job and r[2] == stage]
+                listed += [r[5] for r in here if r[4] is None]
+                for key in {r[4] for r in here if r[4]}:
+                    mapped[key] = max(r[5] for r in here if r[4] == key)
+                scalar = max((r[4] for r in scalars if r[0] == job and r[2] == stage and r[4]), default=scalar)
+            got = packaging.holding(entries, version).filter(F.col("job") == job).collect()
+            assert sorted(r.value for r in got if r.key is None) == sorted(listed)
+            assert {r.key: r.value for r in got if r.key} == mapped and sum(r.key is not None for r in got) == len(mapped)
+            assert [r.value for r in packaging.holding(last, version).filter(F.col("job") == job).collect()] == ([scalar] if scalar else [])
 
 
 HTML = """<html><head><title> T </title></head><body><h1>Main</h1><div><a href="/first.pdf">first</a></div>

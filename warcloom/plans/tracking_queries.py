@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import crawler, packaging, recon
@@ -352,40 +353,61 @@ def wn_9(spark, sf):
 
 def _stages(spark, sf):
     return fx.table(spark, sf, "events").select(
-        F.concat(F.lit("job-"), (F.col("user_id") % 5).cast("string")).alias("job"), F.lit("20240101000000").alias("launch"),
+        F.concat(F.lit("job-"), F.col("user_id").cast("string")).alias("job"), F.lit("20240101000000").alias("launch"),
         F.when(F.col("event_id") % 50 == 7, "final").otherwise(F.date_format("ts", "yyyyMMdd000000")).alias("stage"), "event_id", "event_type", "ts")
 
 
-_STAGES = """(SELECT 'job-' || (user_id % 5) AS job, CASE WHEN event_id % 50 = 7 THEN 'final' ELSE strftime(ts, '%Y%m%d') || '000000' END AS stage, event_id, event_type FROM events)"""
+_STAGES = """(SELECT 'job-' || user_id AS job, CASE WHEN event_id % 50 = 7 THEN 'final' ELSE strftime(ts, '%Y%m%d') || '000000' END AS stage, event_id, event_type FROM events)"""
 _VERSIONS = f"""(SELECT job, stage, row_number() OVER (PARTITION BY job ORDER BY stage = 'final', stage) AS version FROM (SELECT DISTINCT job, stage FROM {_STAGES}))"""
 
 
 @query("wn_7_incremental_packages", f"""
-SELECT a.job, a.stage, CAST(a.version AS INTEGER) AS version, string_agg(b.stage, ' ' ORDER BY b.version) AS stages FROM {_VERSIONS} a JOIN {_VERSIONS} b ON a.job = b.job AND b.version <= a.version GROUP BY ALL""")
+SELECT job, stage, CAST(version AS INTEGER) AS first_version, CAST(count(*) OVER (PARTITION BY job) AS INTEGER) AS last_version FROM {_VERSIONS}""")
 def wn_7(spark, sf):
-    return packaging.incremental_packages(_stages(spark, sf).select("job", "launch", "stage").distinct()).select(
-        "job", "stage", "version", F.array_join("stages", " ").alias("stages"))
+    return packaging.incremental_packages(_stages(spark, sf)).drop("launch")
+
+
+@query("wn_7_running_lists", f"""
+SELECT a.job, CAST(a.version AS INTEGER) AS version, string_agg(b.stage, ' ' ORDER BY b.version) AS stages FROM {_VERSIONS} a JOIN {_VERSIONS} b ON a.job = b.job AND b.version <= a.version GROUP BY ALL""")
+def wn_7_lists(spark, sf):
+    """The stages of each version, written out: as many lists as stages, each as long as its number."""
+    stages = packaging.incremental_packages(_stages(spark, sf))
+    held = stages.withColumn("version", F.explode(F.sequence("first_version", "last_version")))
+    lists = held.groupBy("job", "version").agg(F.sort_array(F.collect_list(F.struct("first_version", "stage"))).alias("held"))
+    return lists.select("job", "version", F.array_join(F.col("held.stage"), " ").alias("stages"))
 
 
 def _package_parts(spark, sf):
     s = _stages(spark, sf)
     items = s.select("job", "launch", "stage", F.lit("hashes").alias("field"), F.col("event_type").alias("key"), F.col("event_id").cast("string").alias("value"))
-    items = items.groupBy("job", "launch", "stage", "field", "key").agg(F.max("value").alias("value"))
+    listed = s.filter("event_id % 3 = 0").select("job", "launch", "stage", F.lit("files").alias("field"), F.lit(None).cast("string").alias("key"), F.col("event_id").cast("string").alias("value"))
+    items = items.unionByName(listed)
     scalars = s.groupBy("job", "launch", "stage").agg(F.min("event_id").cast("string").alias("value")).withColumn("field", F.lit("start_date"))
     return packaging.package_merge(items, scalars)
 
 
 @query("ag_25_package_merge", f"""
 WITH per AS (SELECT job, stage, event_type AS key, max(CAST(event_id AS VARCHAR)) AS value FROM {_STAGES} GROUP BY ALL),
-sc AS (SELECT job, stage, CAST(min(event_id) AS VARCHAR) AS value FROM {_STAGES} GROUP BY ALL)
-SELECT a.job, CAST(a.version AS INTEGER) AS version, 'hashes' AS field, p.key, arg_max(p.value, b.version) AS value
-FROM {_VERSIONS} a JOIN {_VERSIONS} b ON a.job = b.job AND b.version <= a.version JOIN per p ON p.job = b.job AND p.stage = b.stage GROUP BY a.job, a.version, p.key
-UNION ALL SELECT a.job, CAST(a.version AS INTEGER), 'start_date', NULL, arg_max(s.value, b.version)
-FROM {_VERSIONS} a JOIN {_VERSIONS} b ON a.job = b.job AND b.version <= a.version JOIN sc s ON s.job = b.job AND s.stage = b.stage GROUP BY a.job, a.version""")
+sc AS (SELECT job, stage, CAST(min(event_id) AS VARCHAR) AS value FROM {_STAGES} GROUP BY ALL),
+v AS (SELECT *, max(version) OVER (PARTITION BY job) AS versions FROM {_VERSIONS}),
+x AS (SELECT job, 'hashes' AS field, key, value, version, lead(version) OVER (PARTITION BY job, key ORDER BY version) - 1 AS until, versions FROM per JOIN v USING (job, stage)
+  UNION ALL SELECT job, 'start_date', NULL, value, version, lead(version) OVER (PARTITION BY job ORDER BY version) - 1, versions FROM sc JOIN v USING (job, stage)
+  UNION ALL SELECT job, 'files', NULL, CAST(event_id AS VARCHAR), version, NULL, versions FROM {_STAGES} JOIN v USING (job, stage) WHERE event_id % 3 = 0)
+SELECT job, field, key, value, CAST(version AS INTEGER) AS first_version, CAST(coalesce(until, versions) AS INTEGER) AS last_version FROM x""")
 def ag_25(spark, sf):
     entries, scalars = _package_parts(spark, sf)
-    cols = ["job", "version", "field", "key", "value"]
-    return entries.select(*cols).unionByName(scalars.withColumn("key", F.lit(None).cast("string")).select(*cols))
+    columns = ["job", "field", "key", "value", "first_version", "last_version"]
+    return entries.select(*columns).unionByName(scalars.withColumn("key", F.lit(None).cast("string")).select(*columns))
+
+
+@query("ag_25_package_version", f"""
+WITH per AS (SELECT job, stage, event_type AS key, max(CAST(event_id AS VARCHAR)) AS value FROM {_STAGES} GROUP BY ALL)
+SELECT p.job, p.key, arg_max(p.value, b.version) AS value FROM {_VERSIONS} b JOIN per p ON p.job = b.job AND p.stage = b.stage WHERE b.version <= 3 GROUP BY ALL""")
+def ag_25_version(spark, sf):
+    """The map entries that the third version of each package holds, or the last one of shorter packages."""
+    entries, _ = _package_parts(spark, sf)
+    wanted = F.least(F.lit(3), F.max("last_version").over(Window.partitionBy("job", "launch")))
+    return packaging.holding(entries.filter("key IS NOT NULL").withColumn("wanted", wanted), F.col("wanted")).select("job", "key", "value")
 
 
 # Crawler status
