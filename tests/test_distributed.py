@@ -120,6 +120,17 @@ def test_trace_routes_like_brute_force(spark):
     assert {(r.document, r.seed): (r.landing_page, r.route) for r in got} == brute_routes(docs, links, seeds)
 
 
+def test_trace_routes_over_a_grid_of_links(spark):
+    """Sixteen levels of three pages, each linked with all of the next: 3 ** 15 routes."""
+    links = [(f"l{i:02d}-{a}", f"l{i + 1:02d}-{b}") for i in range(16) for a in range(3) for b in range(3) if (i, a, b) != (0, 0, 2)]
+    seeds = [f"l16-{b}" for b in range(3)]
+    frame = lambda rows, names: spark.createDataFrame(rows, names)
+    got = harvest.trace_routes(frame([("l00-0",), ("l03-1",)], "url string"), frame(links, "url string, referrer string"), frame([(s,) for s in seeds], "url string")).collect()
+    assert {(r.document, r.seed): (r.landing_page, r.route) for r in got} == {
+        ("l00-0", "l16-0"): ("l01-1", ["l00-0"] + [f"l{i:02d}-0" for i in range(1, 17)]),
+        ("l03-1", "l16-0"): ("l04-2", ["l03-1"] + [f"l{i:02d}-0" for i in range(4, 17)])}
+
+
 def test_trace_routes_beyond_twenty_hops(spark):
     links = [(f"n{i}", f"n{i + 1}") for i in range(23)] + [("x", "y")]
     docs = spark.createDataFrame([("n0",), ("x",)], "url string")

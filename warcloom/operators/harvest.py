@@ -197,8 +197,10 @@ def trace_routes(docs: DataFrame, links: DataFrame, seeds: DataFrame, max_hops:
     landing page is the commonest first referrer over a document's routes, and
     one shortest route per seed is returned.
 
-    Distances to the nearest seed are found first, page by page, so paths are
-    only extended where a seed is still within reach.
+    Distances to the nearest seed are found first, page by page. A document whose
+    nearest seed is ``max_hops`` or more away has shortest routes only; those are
+    counted, not listed. For the others paths of up to ``max_hops`` hops are
+    extended where a seed is still within reach.
     """
     links = cut_lineage(links.select("url", "referrer").distinct())
     seeds = cut_lineage(seeds.select("url").distinct())
@@ -215,9 +217,63 @@ def trace_routes(docs: DataFrame, links: DataFrame, seeds: DataFrame, max_hops:
         if hop % 10 == 0:
             distances = cut_lineage(distances)
 
-    onward = links.join(distances.select(F.col("url").alias("referrer"), "dist"), "referrer")
+    onward = cut_lineage(links.join(distances.select(F.col("url").alias("referrer"), "dist"), "referrer"))
     # A document that is itself a seed still has to be reached from a seed.
     first = docs.select("url").distinct().join(onward, "url").groupBy("url").agg((F.min("dist") + 1).alias("near"))
+    is_seed = seeds.withColumn("_seed", F.lit(True))
+    first = cut_lineage(first.join(is_seed, "url", "left").withColumn("far", F.col("_seed").isNull() & (F.col("near") >= max_hops)).drop("_seed"))
+    counted = _counted_routes(first.filter("far").select("url", "near"), onward, distances)
+    return counted.unionByName(_listed_routes(first.filter("NOT far").select("url", "near"), onward, max_hops))
+
+
+_ROUTES = "document string, seed string, landing_page string, route array<string>"
+#: Where counts of routes end; beyond it the commonest referrer is the last by name.
+_MOST_ROUTES = "99999999999999999999999999999999999999"
+
+
+def _counted_routes(docs: DataFrame, onward: DataFrame, distances: DataFrame) -> DataFrame:
+    """Routes of documents for which only shortest ones count, without listing them.
+
+    On a shortest route each page is one hop nearer to its seed, so numbers of
+    routes and the first route per seed follow page by page, level by level, from
+    those of the referrers one level below. A grid of links has exponentially many
+    routes but a row per page, and per page and seed.
+    """
+    count = "decimal(38,0)"
+    down = onward.join(distances.select("url", F.col("dist").alias("own")), "url").filter("own = dist + 1").select("url", "referrer", "own")
+    frontier = needed = cut_lineage(docs.select("url"))
+    rounds = 0
+    while not frontier.isEmpty():
+        rounds += 1
+        below = down.filter("own > 1").join(frontier, "url", "left_semi").select(F.col("referrer").alias("url")).distinct()
+        frontier = cut_lineage(below.join(needed, "url", "left_anti"))
+        needed = needed.unionByName(frontier) if rounds % 10 else cut_lineage(needed.unionByName(frontier))
+    steps = cut_lineage(down.join(needed, "url", "left_semi"))
+    # One seed ends a branch: the smallest, where several referrers are seeds.
+    ends = steps.filter("own = 1").groupBy("url").agg(F.min("referrer").alias("referrer"))
+    through = cut_lineage(ends.withColumn("n", F.lit(1).cast(count)))
+    routes = cut_lineage(ends.select("url", F.col("referrer").alias("seed"), F.array("url", "referrer").alias("route")))
+    top = docs.agg(F.max("near")).first()[0] or 0
+    told = []
+    for level in range(1, top + 1):
+        if level > 1:
+            here = steps.filter(F.col("own") == level)
+            totals = through.groupBy(F.col("url").alias("referrer")).agg(F.coalesce(F.try_sum("n").cast(count), F.lit(_MOST_ROUTES).cast(count)).alias("n"))
+            onto = routes.select(F.col("url").alias("referrer"), "seed", "route")
+            through = cut_lineage(here.select("url", "referrer").join(totals, "referrer").select("url", "referrer", "n"))
+            routes = cut_lineage(
+                here.select("url", "referrer").join(onto, "referrer").groupBy("url", "seed").agg(F.min(F.concat(F.array("url"), F.col("route"))).alias("route")))
+        own = docs.filter(F.col("near") == level).select("url")
+        landing = through.join(own, "url", "left_semi").groupBy("url").agg(F.max_by("referrer", F.struct("n", "referrer")).alias("landing_page"))
+        told.append(routes.join(landing, "url").select(F.col("url").alias("document"), "seed", "landing_page", "route"))
+    out = docs.sparkSession.createDataFrame([], _ROUTES)
+    for rows in told:
+        out = out.unionByName(rows)
+    return out
+
+
+def _listed_routes(first: DataFrame, onward: DataFrame, max_hops: int) -> DataFrame:
+    """Routes of documents with a seed within ``max_hops``, or that are seeds: all are followed."""
     paths = first.select(
         F.col("url").alias("document"), F.array("url").alias("route"), F.col("url").alias("at"),
         F.greatest(F.lit(max_hops), "near").alias("limit"),
@@ -245,9 +301,7 @@ def trace_routes(docs: DataFrame, links: DataFrame, seeds: DataFrame, max_hops:
             .select("document", "route", "at", "limit")
         )
     if routes is None:
-        return first.select(
-            F.col("url").alias("document"), F.lit("").alias("seed"), F.lit("").alias("landing_page"), F.array("url").alias("route")
-        ).limit(0)
+        return first.sparkSession.createDataFrame([], _ROUTES)
     landing = (
         routes.groupBy("document", F.element_at("route", 2).alias("landing_page")).agg(F.count("*").alias("n"))
         .groupBy("document").agg(F.max_by("landing_page", F.struct("n", "landing_page")).alias("landing_page"))

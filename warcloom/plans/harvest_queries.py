@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import urls as U
 from ..operators import harvest as ops
 from ..operators.captures import available_in_index
+from ..session import cut_lineage
 from . import frames as fx
 from .capture_queries import cdx_table, with_misses
 from .registry import query
@@ -102,12 +103,15 @@ walk(document, route, node, done) AS (
 arrived AS (SELECT document, route, len(route) - 1 AS hops FROM walk WHERE done),
 kept AS (SELECT *, min(hops) OVER (PARTITION BY document) AS nearest FROM arrived),
 best AS (SELECT document, route FROM kept WHERE hops = nearest)
-SELECT document, route[-1] AS seed, route[2] AS landing_page, array_to_string(route, ' ') AS route FROM best""")
+SELECT document, route[-1] AS seed, route[2] AS landing_page, array_to_string(route, ' ') AS route FROM best
+UNION ALL SELECT DISTINCT url, NULL, NULL, NULL FROM fx_pages WHERE url NOT IN (SELECT document FROM best)""")
 def jn_20(spark, sf):
     log = fx.crawl_log(spark, sf)
     p = fx.pages(spark, sf)
-    out = ops.trace_routes(p, ops.referrer_links(log), p.filter("page_id % 6 = 0"))
-    return out.withColumn("route", F.array_join("route", " "))
+    out = cut_lineage(ops.trace_routes(p, ops.referrer_links(log), p.filter("page_id % 6 = 0")))
+    none = F.lit(None).cast("string")
+    lost = ops.unreached(p, out).select("document", none.alias("seed"), none.alias("landing_page"), none.alias("route"))
+    return out.withColumn("route", F.array_join("route", " ")).unionByName(lost)
 
 
 def _stored(spark, sf):
