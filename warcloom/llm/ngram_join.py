@@ -28,10 +28,11 @@ Shingles and sets are named by 64-bit hashes.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -43,6 +44,7 @@ from .shingles import set_name, shingle_sets
 #: Shingles a task holds before it reports the frequent ones among them.
 _COUNT_BLOCK = 1_000_000
 _MOST_FREQUENT = 1_000_000
+_BATCH_ROWS = 1_000
 _FREQUENT_FROM = 8
 #: Bits of the filters that keep shingles and texts without any candidate out of the shuffles.
 _FILTER_BITS = 26
@@ -251,7 +253,26 @@ def _frequent(survey: DataFrame) -> _Order:
     return _Order(rows["shingle"].to_numpy(np.int64), rows["seen"].to_numpy(np.int64))
 
 
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """Fewer rows per Arrow batch while the stages here run: texts, their sets and copies are held per batch."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    if not 0 < int(before) <= _BATCH_ROWS:
+        spark.conf.set(key, str(_BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(texts, links); see :func:`_jaccard_classes`. All stages have run when it returns."""
+    with _small_batches(docs.sparkSession):
+        return _jaccard_classes(docs, id_col, text_col)
+
+
+def _jaccard_classes(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
     """(texts, links): a row per text (id, n, cls) and the verified links between classes (a, b).
 
     The links connect exactly the classes that all links would connect; links
