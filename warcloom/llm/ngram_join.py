@@ -14,7 +14,9 @@ No posting list is multiplied with itself. First each group meets one pivot,
 the group in which the shingle comes earliest; whatever that links becomes
 one component, and lists that hold a single component are done. Only pairs from
 different components are tried after that, so a large family of near copies
-costs one comparison per member while no link between components is lost.
+costs one comparison per member while no link between components is lost. Lists
+that hold the same groups are merged into one with a weight and, for each group,
+its earliest place in them, which can only let more pairs through to verification.
 
 Frequent shingles only steer the order, never the result: pairs that share no
 more than a common passage then have no prefix shingle in common. They are
@@ -335,19 +337,29 @@ def _jaccard_classes(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataF
         .select("grp", F.coalesce("label", "cls").alias("label")).distinct()
     )
     open_lists = lists.join(named, "grp", "left").select("shingle", "grp", "n", "pos", F.coalesce("label", "grp").alias("label"))
-    mixed = open_lists.groupBy("shingle").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("shingle")
-    left = open_lists.join(mixed, "shingle", "left_semi")
+    # Lists of the same groups are one list with a weight: texts that share a passage meet once, not once a shingle.
+    member = [F.xxhash64("grp", "label"), F.xxhash64("label", "grp")]
+    mixed = (
+        open_lists.groupBy("shingle")
+        .agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("held"),
+             *[F.bit_xor(h).alias(f"h{i}") for i, h in enumerate(member)])
+        .where("x <> y").select("shingle", F.struct("held", "h0", "h1").alias("same"))
+    )
+    left = (
+        open_lists.join(mixed, "shingle").groupBy("same", "grp", "n", "label")
+        .agg(F.min("pos").alias("pos"), F.count("*").alias("weight"))
+    )
     # The first shingle that two linked groups share lies in both prefixes, so in one of these lists:
     # a group shares no more with another than what follows its first place in them.
     rooms = left.groupBy("grp").agg((F.max("n") - F.min("pos")).alias("room"))
-    left = left.join(rooms, "grp").select("shingle", "grp", "n", "pos", "label", "room")
-    right = left.toDF("shingle", "grp2", "n2", "pos2", "label2", "room2")
+    left = cut_lineage(left.join(rooms, "grp").select("same", "grp", "n", "pos", "label", "room", "weight"))
+    right = left.drop("weight").toDF("same", "grp2", "n2", "pos2", "label2", "room2")
     rest = cut_lineage(
-        left.join(right, "shingle").where("grp < grp2 AND label <> label2")
+        left.join(right, "same").where("grp < grp2 AND label <> label2")
         .where(_passes(F.col("n"), F.col("pos"), F.col("n2"), F.col("pos2")))
         .where(F.least("room", "room2") >= _overlap(F.col("n"), F.col("n2")))
         .groupBy(F.col("grp").alias("g"), F.col("grp2").alias("h"), "n", "n2")
-        .agg(F.count("*").alias("lists")).where(F.col("lists") >= _common(F.col("n"), F.col("n2"))).select("g", "h")
+        .agg(F.sum("weight").alias("lists")).where(F.col("lists") >= _common(F.col("n"), F.col("n2"))).select("g", "h")
         .join(star.select(F.least("g", "h").alias("g"), F.greatest("g", "h").alias("h"))
               .join(several.toDF("g"), "g", "left_anti").join(several.toDF("h"), "h", "left_anti").distinct(),
               ["g", "h"], "left_anti")
