@@ -51,7 +51,7 @@ class WordScores(dict):
         readings = [word]
         if word[:3] in self.heads:
             readings += stems(word)
-        if len(self) > 500_000:
+        if len(self) > 100_000:
             self.clear()
         self[word] = found = max((self.lexicon[r] for r in readings if r in self.lexicon), default=0.0)
         return found

@@ -23,7 +23,7 @@ _WORD = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_DIGIT}]|[^{_SPACE}
 #: Anything outside these is left to the library; so are special tokens, which start with "<|",
 #: and capital I with a dot, which lower-cases to two characters.
 _OTHER = re.compile("[^\u0000-\u001b -įı-ſ]|<\\|")
-MAX_WORDS = 800_000
+MAX_WORDS = 200_000
 
 
 class WordBpe(dict):
