@@ -30,6 +30,17 @@ def incremental_packages(stages: DataFrame) -> DataFrame:
         *_LAUNCH, "stage", F.row_number().over(launch.orderBy(*_stage_order())).alias("first_version"), F.count("*").over(launch).cast("int").alias("last_version"))
 
 
+def running_lists(stages: DataFrame) -> DataFrame:
+    """Running lists (cp1), (cp1 cp2), ... per (job, launch): (job, launch, stage, version, stages).
+
+    Each version written out, named by the stage that it adds. A launch has as many
+    stages as checkpoints, so its lists are a small window.
+    """
+    upto = Window.partitionBy(*_LAUNCH).orderBy("first_version").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return incremental_packages(stages).select(
+        *_LAUNCH, "stage", F.col("first_version").alias("version"), F.collect_list("stage").over(upto).alias("stages"))
+
+
 def holding(entries: DataFrame, version: Column | int) -> DataFrame:
     """The rows of an interval frame that a version holds."""
     number = version if isinstance(version, Column) else F.lit(version)
