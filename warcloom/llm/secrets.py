@@ -6,14 +6,18 @@ case. Each candidate and its surrounding context go through a convolutional netw
 written in numpy: characters are embedded, convolved, rectified and max-pooled
 separately over the candidate and its context, then two dense layers.
 
-The network is trained on labelled findings: base findings are secrets;
+The network is trained on all labelled findings: base findings are secrets;
 candidates that are none and ordinary long words are not. Half of the training
 examples lose their context, so the shape of a candidate counts as well as its
 surroundings. Scores are calibrated on held-out findings (Platt), and the
 threshold is the highest that keeps ``recall`` of the held-out secrets. Candidates
 at or over it are added to the base findings, which always stay.
 
-Training reads at most ``max_train`` examples of each label, chosen by hash.
+Findings are dealt by hash into groups of about ``GROUP``, a fifth of them held
+out. In each round every group trains on all of its examples from the weights of
+the round before, and the mean of their weights, by examples, goes on (federated
+averaging). Held-out scores are counted by rounded value, so calibration and
+threshold come from all of them and the driver sees a few thousand counts.
 """
 
 from __future__ import annotations
@@ -28,6 +32,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..session import cut_lineage
+
 # The kinds in the order in which spans that start together are listed, and their patterns.
 KINDS = ("assign", "access", "hex")
 _ASSIGN = re.compile(r"""(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -39,6 +45,8 @@ _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 _DIGIT, _LETTER, _RISE = re.compile("[0-9]"), re.compile("[A-Za-z]"), re.compile("[a-z][A-Z]")
 _WORD = re.compile(r"[A-Za-z]{10,}")
 BEFORE, AFTER, BODY = 24, 8, 64
+GROUP = 16_384
+_SCALE, _REACH = 64, 32  # held-out scores are counted in steps of 1/64 from -32 to 32
 _ALPHABET = 98  # padding, printable ASCII, white space, anything else
 
 
@@ -204,71 +212,126 @@ def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             "start": pa.array([r[2] for r in rows], pa.int32()), "stop": pa.array([r[3] for r in rows], pa.int32())})
 
 
-def _arrays(rows: list[tuple[int, str, int, int]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    encoded = [encode(text, start, stop) for _, text, start, stop in rows]
-    return np.array([c for c, _ in encoded]), np.array([w[0] for _, w in encoded]), np.array([r[0] for r in rows], float)
+def _arrays(texts: list[str], starts: list[int], stops: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    encoded = [encode(*example) for example in zip(texts, starts, stops, strict=True)]
+    return np.array([c for c, _ in encoded]), np.array([w[0] for _, w in encoded])
 
 
-def train(rows: list[tuple[int, str, int, int]], recall: float = 0.98, epochs: int = 12, seed: int = 3) -> CharCnn | None:
-    """Adam on four fifths of the examples; calibration and threshold on the rest. None without both labels."""
-    labels = [r[0] for r in rows]
-    if len(set(labels)) < 2 or len(rows) < 20:
-        return None
+def train_epoch(model: CharCnn, contexts: np.ndarray, bodies: np.ndarray, y: np.ndarray, seed: int, rate: float = 0.004, size: int = 64) -> None:
+    """One pass of Adam over all examples. Batches hold both labels in equal parts:
+    those of the commoner label come once, those of the rarer one as often as needed."""
     rng = np.random.default_rng(seed)
-    order = rng.permutation(len(rows))
-    contexts, bodies, y = _arrays([rows[i] for i in order])
-    cut = len(rows) * 4 // 5
-    model = CharCnn.fresh(rng)
+    parts = [rng.permutation(np.flatnonzero(y == label)) for label in (0, 1)]
+    longest = max(map(len, parts))
+    order = np.stack([np.resize(p, longest) for p in parts if len(p)], axis=1).reshape(-1)
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in model.weights.items()}
-    weight = {1.0: 0.5 / max(y[:cut].mean(), 1e-6), 0.0: 0.5 / max(1 - y[:cut].mean(), 1e-6)}
-    chance = np.array([weight[v] for v in y[:cut]])
-    chance /= chance.sum()
-    step, size = 0, 64
-    for _ in range(epochs):
-        for _ in range(max(1, cut // size)):
-            pick = rng.choice(cut, size, p=chance)  # labels in balance
-            seen = contexts[pick] * (rng.random(size) < 0.5)[:, None]
-            step += 1
-            for k, g in model.gradients(seen, bodies[pick], y[pick]).items():
-                m, v = moments[k]
-                m += 0.1 * (g - m)
-                v += 0.001 * (g * g - v)
-                model.weights[k] -= 0.004 * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
-    # Held-out findings count with and without their context, as a secret may stand anywhere.
-    held = slice(cut, None) if len(set(y[cut:])) > 1 else slice(0, None)
-    both = np.concatenate([contexts[held], np.zeros_like(contexts[held])]), np.concatenate([bodies[held]] * 2)
-    target = np.concatenate([y[held]] * 2)
-    model.slope, model.shift = _platt(model.raw(*both), target)
-    sure = np.sort(model.probability(*both)[target == 1])
-    # The highest threshold that keeps the asked recall, but never under one half.
-    model.threshold = max(0.5, float(sure[int((1 - recall) * len(sure))]))
-    return model
+    for step, at in enumerate(range(0, len(order), size), 1):
+        pick = order[at:at + size]
+        seen = contexts[pick] * (rng.random(len(pick)) < 0.5)[:, None]
+        for k, g in model.gradients(seen, bodies[pick], y[pick]).items():
+            m, v = moments[k]
+            m += 0.1 * (g - m)
+            v += 0.001 * (g * g - v)
+            model.weights[k] -= rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
+
+
+def _train_group(weights: dict[str, np.ndarray], epochs: int, seed: int):
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([("text", "ascending"), ("start", "ascending"), ("stop", "ascending"), ("label", "ascending")])
+        contexts, bodies = _arrays(*(rows.column(c).to_pylist() for c in ("text", "start", "stop")))
+        y = np.array(rows.column("label").to_pylist(), float)
+        model = CharCnn({k: v.copy() for k, v in weights.items()})
+        for epoch in range(epochs):
+            train_epoch(model, contexts, bodies, y, hash((seed, epoch, key[0].as_py())) & 0xFFFFFFFF)
+        flat = np.concatenate([model.weights[k].reshape(-1) for k in sorted(weights)])
+        return pa.table({"place": pa.array(range(len(flat)), pa.int32()), "total": flat * len(y), "n": pa.array([len(y)] * len(flat), pa.int64())})
+
+    return run
+
+
+def _averaged(groups: DataFrame, weights: dict[str, np.ndarray], epochs: int, seed: int) -> dict[str, np.ndarray]:
+    """The mean weights of all groups after ``epochs`` passes from ``weights``; a row per weight comes back."""
+    sums = groups.groupBy("shard").applyInArrow(_train_group(weights, epochs, seed), "place int, total double, n long")
+    rows = sums.groupBy("place").agg(F.sum("total").alias("total"), F.sum("n").alias("n")).collect()
+    flat = np.zeros(len(rows))
+    for r in rows:
+        flat[r.place] = r.total / r.n
+    out, at = {}, 0
+    for k in sorted(weights):
+        out[k] = flat[at:at + weights[k].size].reshape(weights[k].shape)
+        at += weights[k].size
+    return out
 
 
-def _platt(raw: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
-    """Logistic calibration with smoothed targets, by Newton steps."""
-    ones, zeros = labels.sum(), len(labels) - labels.sum()
+def _scored(model: CharCnn):
+    """(label, score, n): counts of rounded scores, each example with and without its context."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            contexts, bodies = _arrays(*(batch.column(c).to_pylist() for c in ("text", "start", "stop")))
+            y = np.array(batch.column("label").to_pylist(), np.int64)
+            cells: dict[tuple[int, int], int] = {}
+            for at in range(0, len(y), 512):
+                part = slice(at, at + 512)
+                for seen in (contexts[part], np.zeros_like(contexts[part])):
+                    raw = np.clip(np.rint(model.raw(seen, bodies[part]) * _SCALE), -_REACH * _SCALE, _REACH * _SCALE).astype(int)
+                    for cell in zip(y[part].tolist(), raw.tolist(), strict=True):
+                        cells[cell] = cells.get(cell, 0) + 1
+            yield pa.record_batch({
+                "label": pa.array([c[0] for c in cells], pa.int32()), "score": pa.array([c[1] for c in cells], pa.int32()),
+                "n": pa.array(list(cells.values()), pa.int64())})
+
+    return run
+
+
+def _platt(raw: np.ndarray, labels: np.ndarray, n: np.ndarray) -> tuple[float, float]:
+    """Logistic calibration with smoothed targets, by Newton steps; each score counts ``n`` times."""
+    ones = (labels * n).sum()
+    zeros = n.sum() - ones
     target = np.where(labels == 1, (ones + 1) / (ones + 2), 1 / (zeros + 2))
     w = np.array([1.0, 0.0])
     x = np.stack([raw, np.ones_like(raw)], axis=1)
     for _ in range(50):
         p = 1 / (1 + np.exp(-x @ w))
-        hessian = (x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
-        move = np.linalg.solve(hessian, x.T @ (p - target) + 1e-3 * (w - np.array([1.0, 0.0])))
+        hessian = (x * (n * p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2)
+        move = np.linalg.solve(hessian, x.T @ (n * (p - target)) + 1e-3 * (w - np.array([1.0, 0.0])))
         w = w - np.clip(move, -1, 1)
         if np.abs(move).max() < 1e-6:
             break
     return float(max(w[0], 1e-3)), float(w[1])
 
 
-def fit(docs: DataFrame, text_col: str = "text", max_train: int = 2_000, recall: float = 0.98) -> CharCnn | None:
-    """Train on labelled findings of ``docs``; None if it holds no finding or nothing else."""
+def fit(docs: DataFrame, text_col: str = "text", recall: float = 0.98, rounds: int = 2, seed: int = 3) -> CharCnn | None:
+    """Train on all labelled findings of ``docs``; None if it holds no finding, nothing else or under 20."""
     found = docs.select(F.col(text_col).alias("text")).mapInArrow(_examples, "label int, text string, start int, stop int").distinct()
-    chosen = []
-    for label in (0, 1):
-        part = found.where(F.col("label") == label).orderBy(F.xxhash64("text"), "text", "start").limit(max_train)
-        chosen += [tuple(r) for r in part.collect()]  # at most max_train short rows
-    return train(chosen, recall)
+    place = F.xxhash64("text", "start", "stop")
+    found = cut_lineage(found.withColumn("held", F.pmod(place, F.lit(5)) == 0))
+    counts = {(r.label, r.held): r["count"] for r in found.groupBy("label", "held").count().collect()}
+    total = [counts.get((label, False), 0) + counts.get((label, True), 0) for label in (0, 1)]
+    if not all(total) or sum(total) < 20:
+        return None
+    parts = [counts.get((label, held), 0) for label in (0, 1) for held in (False, True)]
+    if not all(parts):  # too few to part: all train, all calibrate
+        learn, held = found, found
+    else:
+        learn, held = found.where("NOT held"), found.where("held")
+    learned = sum(total) if learn is found else parts[0] + parts[2]
+    shards = -(-learned // GROUP)
+    groups = learn.withColumn("shard", F.pmod(F.xxhash64("text", "start", "stop", F.lit(1)), F.lit(shards)))
+    model = CharCnn.fresh(np.random.default_rng(seed))
+    # Few examples are gone over more often, as in twelve passes over four thousand.
+    epochs = max(1, min(6, -(-49_152 // (2 * learned))))
+    for number in range(rounds):
+        model.weights = _averaged(groups, model.weights, epochs, seed + number)
+    rows = held.select("label", "text", "start", "stop").mapInArrow(_scored(model), "label int, score int, n long").groupBy("label", "score").agg(F.sum("n").alias("n")).collect()
+    score, label, n = (np.array([r[i] for r in sorted((r.score, r.label, r.n) for r in rows)], float) for i in range(3))
+    model.slope, model.shift = _platt(score / _SCALE, label, n)
+    # The highest threshold that keeps the asked recall, but never under one half.
+    sure, upto = score[label == 1], np.cumsum(n[label == 1])
+    lowest = sure[np.searchsorted(upto, int((1 - recall) * upto[-1]), side="right")] / _SCALE
+    model.threshold = max(0.5, float(1 / (1 + np.exp(-(model.slope * (lowest - 0.5 / _SCALE) + model.shift)))))
+    return model
 
 
 def scan(docs: DataFrame, model: CharCnn | None, text_col: str = "text") -> DataFrame:
