@@ -19,7 +19,9 @@ SELECT permissions, number_of_replicas, userid, groupid, filesize, strftime(modi
 def src_4(spark, sf):
     """Several headed files read as one, so headers come back in the middle."""
     path = _folder(spark, "listing-csv")
-    fx.listing(spark, sf).repartition(5).write.option("header", True).option("timestampFormat", "yyyy-MM-dd HH:mm:ss").csv(path)
+    # Five files at least, and one for each split of a large table.
+    files = max(5, fx.table(spark, sf, "lineitem").rdd.getNumPartitions())
+    fx.listing(spark, sf).repartition(files).write.option("header", True).option("timestampFormat", "yyyy-MM-dd HH:mm:ss").csv(path)
     return listings.read_listing_csv(spark, path).withColumn("modified_at", F.date_format("modified_at", "yyyy-MM-dd HH:mm:ss"))
 
 
