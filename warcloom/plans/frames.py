@@ -255,12 +255,19 @@ def launches(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def tracked(spark: SparkSession, sf: str) -> DataFrame:
-    """One tracking record per stored path."""
-    size = F.max("file_size")
-    return files(spark, sf).groupBy("file_path").agg(
-        F.min("kind").alias("kind_s"), F.min("stream").alias("stream_s"), F.min("collection").alias("collection_s"),
-        F.min("job").alias("job_s"), size.alias("file_size_l"), F.min("file_name").alias("file_name_s"),
-        F.max("modified_at").alias("modified_at_dt"), F.max("timestamp").alias("timestamp_dt"),
+    """One tracking record per stored path.
+
+    What a path tells is read once per path, after copies are folded: kind, names and
+    so on depend on the path alone, and the date of the content is fixed by the path or
+    the time of modification, so the greatest of the latter gives the greatest date.
+    """
+    lines = listing(spark, sf).filter(~F.col("permissions").startswith("d"))
+    # Numbers and times are folded in hash tables; the columns that no record needs are dropped from the plan.
+    paths = lines.groupBy("filename").agg(*[F.max(c).alias(c) for c in lines.columns if c != "filename"])
+    return holdings.classify_listing(paths).select(
+        "file_path", F.col("kind").alias("kind_s"), F.col("stream").alias("stream_s"), F.col("collection").alias("collection_s"),
+        F.col("job").alias("job_s"), F.col("file_size").alias("file_size_l"), F.col("file_name").alias("file_name_s"),
+        F.col("modified_at").alias("modified_at_dt"), F.col("timestamp").alias("timestamp_dt"),
     ).select(
         _cat("hdfs://", F.col("file_path")).alias("id"), "kind_s", "stream_s", "collection_s", "job_s", "file_size_l",
         F.col("file_path").alias("file_path_s"), "file_name_s", "modified_at_dt", "timestamp_dt",
