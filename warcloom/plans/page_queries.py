@@ -213,7 +213,7 @@ def src_3(spark, sf):
     lines = fx.listing(spark, sf).select(F.concat_ws(
         "   ", "permissions", "number_of_replicas", "userid", "groupid", "filesize", F.date_format("modified_at", "yyyy-MM-dd HH:mm"),
         F.concat("filename", F.lit(" copy 1"))).alias("value"))
-    banner = lines.limit(1).select(F.lit("lsr: DEPRECATED: Please use 'ls -R' instead.").alias("value"))
+    banner = spark.range(1).select(F.lit("lsr: DEPRECATED: Please use 'ls -R' instead.").alias("value"))
     return listings.parse_lsr(lines.unionByName(banner)).withColumn("modified_at", F.date_format("modified_at", "yyyy-MM-dd HH:mm"))
 
 

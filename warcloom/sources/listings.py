@@ -15,9 +15,11 @@ def parse_lsr(lines: DataFrame, value: str = "value") -> DataFrame:
     """``ls -lsr`` text to schemas.LISTING rows: permissions, replicas, user,
     group, size, date, time, path (which may hold spaces). Times are UTC."""
     f = F.split(F.regexp_replace(F.col(value), r"^\s+|\s+$", ""), r"\s+", 8)
+    # One-element explodes: a line is made once and split once, filters are not pushed below and evaluated again.
     return (
-        lines.filter(~F.col(value).contains(_DEPRECATED))
-        .select(f.alias("f"))
+        lines.select(F.explode(F.array(value)).alias(value))
+        .filter(~F.col(value).contains(_DEPRECATED))
+        .select(F.explode(F.array(f)).alias("f"))
         .filter(F.size("f") == 8)
         .select(
             F.col("f")[0].alias("permissions"),
