@@ -36,3 +36,14 @@ def test_texts_are_split_once_for_word_pairs(spark):
     assert _plan(double).count("split(") == 1 and "zip_with" not in _plan(double)
     assert {tuple(r) for r in double.collect()} == {(1, "a", "b", 2), (1, "b", "a", 1), (2, "x", "y", 1)}
     assert {tuple(r) for r in single.collect()} == {(1, "a", 2), (1, "b", 2), (1, "one", 1), (2, "x", 1), (2, "y", 1)}
+
+
+def test_warc_ranges_grow_with_the_files(spark, monkeypatch):
+    cores = spark.sparkContext.defaultParallelism
+    for total in (1000, 10**6, 10**9, 10**12):
+        monkeypatch.setattr(warc_queries.warc, "listed", lambda path, total=total: [("a.warc.gz", total // 2), ("b.warc.gz", total - total // 2)])
+        size = warc_queries.range_bytes(spark, "x")
+        assert 40_000 <= size <= 128 << 20
+        assert total // size <= max(4 * cores + 2, total // (128 << 20)) or size == 40_000
+    monkeypatch.setattr(warc_queries.warc, "listed", lambda path: [("a.warc.gz", 10**9)])
+    assert 10**9 // warc_queries.range_bytes(spark, "x") <= 4 * cores + 1

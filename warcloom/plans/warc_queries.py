@@ -40,6 +40,13 @@ def warc_content(spark: SparkSession, sf: str) -> DataFrame:
     return fx.spread(pages).select(F.col("url").alias("target_uri"), date.alias("warc_date"), F.explode(records).alias("r")).select("target_uri", "warc_date", "r.*")
 
 
+def range_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of a range: a small table's files are still read in several, a large table's
+    in some for each core, so that ranges do not outnumber the cores without end."""
+    total = sum(size for _, size in warc.listed(path))
+    return max(_RANGE, min(total // (4 * spark.sparkContext.defaultParallelism), 128 << 20))
+
+
 def warc_folder(spark: SparkSession, sf: str) -> str:
     path = _folder(spark, "warcs")
     warc.write_warc(warc_content(spark, sf), path)
@@ -56,7 +63,8 @@ UNION ALL SELECT url, 'request', NULL, NULL, 'application/http', NULL, CASE WHEN
 UNION ALL SELECT url, 'metadata', NULL, NULL, 'application/warc-fields', NULL, NULL, NULL, 'http://out.example/' || page_id,
        sha256('via: x' || chr(13) || chr(10) || 'outlink: http://out.example/' || page_id || ' L a/@href' || chr(13) || chr(10) || 'fetchTimeMs: 3' || chr(13) || chr(10)) FROM pages""")
 def src_7(spark, sf):
-    records = warc.read_warc_records(spark, warc_folder(spark, sf), keep_content=True, range_bytes=_RANGE)
+    path = warc_folder(spark, sf)
+    records = warc.read_warc_records(spark, path, keep_content=True, range_bytes=range_bytes(spark, path))
     # A broken place would show as a row of its own.
     return records.select(
         "target_uri", F.coalesce("rec_type", "warc_error").alias("rec_type"), "http_status", "location", "mime", "digest", "http_method", "post_query",
@@ -77,7 +85,8 @@ FROM p JOIN pages USING (page_id, url)
 UNION ALL SELECT surt, strftime(TIMESTAMP '2024-01-01 00:00:00' + to_seconds(page_id * 61), '%Y%m%d%H%M%S'), url, 'application/warc-fields', '-', '-', '-' FROM p""")
 def fn_25_warc(spark, sf):
     """WARC bytes to index lines, with the arguments of POST requests in the key."""
-    records = warc.read_warc_records(spark, warc_folder(spark, sf), range_bytes=_RANGE)
+    path = warc_folder(spark, sf)
+    records = warc.read_warc_records(spark, path, range_bytes=range_bytes(spark, path))
     lines = warc.with_post_query(records).select(X.record_to_cdx(post_query=F.col("post_query")).alias("line"))
     field = F.split("line", " ")
     names = ("urlkey", "timestamp", "original", "mimetype", "statuscode", "digest", "redirecturl")
@@ -109,5 +118,6 @@ def ud_2(spark, sf):
             yield batch.groupby(["rec_type", "status_class"], as_index=False).agg(n=("payload", "size"), payload=("payload", "sum")).rename(
                 columns={"rec_type": "kind"})
 
-    part = warc.warc_job(spark, warc_folder(spark, sf), sizes, "kind string, status_class long, n long, payload long", keep_content=True, range_bytes=_RANGE)
+    path = warc_folder(spark, sf)
+    part = warc.warc_job(spark, path, sizes, "kind string, status_class long, n long, payload long", keep_content=True, range_bytes=range_bytes(spark, path))
     return part.groupBy("kind", F.nullif("status_class", F.lit(-1).cast("long")).alias("status_class")).agg(F.sum("n").alias("n"), F.sum("payload").alias("payload"))
