@@ -38,6 +38,26 @@ def test_texts_are_split_once_for_word_pairs(spark):
     assert {tuple(r) for r in single.collect()} == {(1, "a", 2), (1, "b", 2), (1, "one", 1), (2, "x", 1), (2, "y", 1)}
 
 
+def test_reports_on_paths_read_no_facts_from_them(spark, tmp_path):
+    sf = _lineitem(spark, tmp_path)
+    files, stored = fx.files(spark, sf), fx.stored(spark, sf)
+    reports, plain = workflows.daily_reports(files, stored), workflows.daily_reports(files)
+    for name in ("duplicates", "empty"):
+        counts = reports[name].agg(F.count("*").alias("n"))
+        assert "_facts" not in _plan(counts) and counts.first().n == plain[name].count()
+    assert sorted(r.file_path for r in stored.collect()) == sorted(r.file_path for r in files.collect())
+
+
+def test_outside_manifest_query_reads_no_facts(spark, tmp_path):
+    from warcloom.plans.catalogue import QUERIES
+
+    sf = _lineitem(spark, tmp_path)
+    rows = QUERIES["so_5_outside_manifest"](spark, sf)
+    f = fx.files(spark, sf).select(F.col("file_path").alias("path"), "file_size")
+    assert "_facts" not in _plan(rows)
+    assert sorted(r.path for r in rows.collect()) == sorted(r.path for r in recon.outside_manifest(f.select("path"), f.filter("file_size % 2 = 0")).collect())
+
+
 def test_warc_ranges_grow_with_the_files(spark, monkeypatch):
     cores = spark.sparkContext.defaultParallelism
     for total in (1000, 10**6, 10**9, 10**12):

@@ -139,6 +139,11 @@ def listing_with_line(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def stored(spark: SparkSession, sf: str) -> DataFrame:
+    """Listed files by path, directories left out as the listing reader does; for what reads no facts from a path."""
+    return listing(spark, sf).filter(~F.col("permissions").startswith("d")).withColumnsRenamed({"filename": "file_path", "filesize": "file_size"})
+
+
 def files(spark: SparkSession, sf: str) -> DataFrame:
     """Classified listing, directories left out as the listing reader does."""
     return holdings.classify_listing(listing(spark, sf).filter(~F.col("permissions").startswith("d")))

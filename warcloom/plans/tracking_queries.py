@@ -234,7 +234,7 @@ UNION ALL SELECT 'empty', count(*) FROM fx_files WHERE file_size = 0
 UNION ALL SELECT 'unparsed-file-paths', count(DISTINCT regexp_extract(file_path, '^(.*)/[^/]*$', 1)) FROM fx_files WHERE NOT recognised
 UNION ALL SELECT 'totals-by-kind', count(*) FROM (SELECT 1 FROM fx_files GROUP BY GROUPING SETS ((stream, kind), (stream)))""")
 def wf_5(spark, sf):
-    reports = workflows.daily_reports(fx.files(spark, sf))
+    reports = workflows.daily_reports(fx.files(spark, sf), fx.stored(spark, sf))
     rows = [reports[name].agg(F.count("*").alias("n")).select(F.lit(name).alias("report"), "n")
             for name in ("duplicates", "empty", "unparsed-file-paths", "totals-by-kind")]
     return rows[0].unionByName(rows[1]).unionByName(rows[2]).unionByName(rows[3])
@@ -335,7 +335,7 @@ def jn_18(spark, sf):
 
 @query("so_5_outside_manifest", "SELECT file_path AS path FROM fx_files WHERE file_path NOT IN (SELECT file_path FROM fx_files WHERE file_size % 2 = 0)")
 def so_5(spark, sf):
-    f = fx.files(spark, sf).select(F.col("file_path").alias("path"), "file_size")
+    f = fx.stored(spark, sf).select(F.col("file_path").alias("path"), "file_size")
     return recon.outside_manifest(f.select("path"), f.filter("file_size % 2 = 0"))
 
 

@@ -31,7 +31,10 @@ def log_analysis_run(log: DataFrame, targets: DataFrame, day: str, job_name: str
     }
 
 
-def daily_reports(files: DataFrame) -> dict[str, DataFrame]:
+def daily_reports(files: DataFrame, stored: DataFrame | None = None) -> dict[str, DataFrame]:
+    """``stored``: the same files with file_path, file_size and permissions only, for the
+    reports that need nothing else; classified files are classified by each report."""
+    stored = files if stored is None else stored
     return {
         "total-file-size-by-stream": holdings.holdings_by_stream(files, "size"),
         "total-file-count-by-stream": holdings.holdings_by_stream(files, "count"),
@@ -39,8 +42,8 @@ def daily_reports(files: DataFrame) -> dict[str, DataFrame]:
         "npld-total-file-size-by-stream-totals": holdings.npld_totals(files),
         "totals-by-kind": holdings.totals_by_kind(files),
         "unparsed-file-paths": holdings.unparsed_paths(files),
-        "duplicates": holdings.duplicate_files(files),
-        "empty": holdings.empty_files(files),
+        "duplicates": holdings.duplicate_files(stored),
+        "empty": holdings.empty_files(stored),
     }
 
 
