@@ -58,6 +58,18 @@ def test_outside_manifest_query_reads_no_facts(spark, tmp_path):
     assert sorted(r.path for r in rows.collect()) == sorted(r.path for r in recon.outside_manifest(f.select("path"), f.filter("file_size % 2 = 0")).collect())
 
 
+def test_each_path_rule_is_named_once(spark):
+    given = ["/data/1/2/WARCS/a|b.warc.gz", "/data/|/x", "/user|x/y", "", "/", "/heritrix/output/dc2x/202401011200/warcs/y", "/heritrix/output/frequent-x/z", "/_to_be_deleted/q", None]
+    facts = spark.createDataFrame([(i, p) for i, p in enumerate(given)], "i int, p string").select("i", paths.path_facts(F.col("p")).alias("f"))
+    plan = _plan(facts)
+    assert plan.count("RLIKE(") == len(paths.LAYOUT_RULES) + len(paths.ROOT_RULES) and "translate(" not in plan
+    none = ["", "", "", "", "unknown", "false"]  # what follows the first folder
+    assert [r.f for r in facts.orderBy("i").collect()] == [
+        ["selective", "selective", "1", "2", "wct", "WARCS", "true"], ["data", "selective", "", "", "wct", "unknown", "false"], ["user\x1fx", *none],
+        ["", *none], ["", *none], ["npld", "domain", "dc2x", "202401011200", "npld-2018", "warcs", "true"],
+        ["heritrix", "", "", "", "npld-2018", "unknown", "false"], ["", "", "", "", "", "to-be-deleted", "true"], ["", *none]]
+
+
 def test_warc_ranges_grow_with_the_files(spark, monkeypatch):
     cores = spark.sparkContext.defaultParallelism
     for total in (1000, 10**6, 10**9, 10**12):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from itertools import groupby
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -95,10 +96,20 @@ def refine_kind(kind: Column, collection: Column, name: Column) -> Column:
     )
 
 
-def _fits(path: Column, pattern: str) -> Column:
-    """Pattern test behind a cheap test of its literal start."""
-    start = re.match(r"\^([/_0-9a-z]*)", pattern).group(1)
-    return path.startswith(start) & path.rlike(pattern)
+def _start(pattern: str) -> str:
+    return re.match(r"\^([/_0-9a-z]*)", pattern).group(1)
+
+
+def _first_fit(path: Column, rules: list[tuple[str, Column]]) -> Column:
+    """Value of the first rule whose pattern fits, else NULL. Patterns that follow each
+    other with the same literal start share one cheap test of it."""
+    found = []
+    for start, group in groupby(rules, lambda rule: _start(rule[0])):
+        inner = None
+        for pattern, value in group:
+            inner = F.when(path.rlike(pattern), value) if inner is None else inner.when(path.rlike(pattern), value)
+        found.append(F.when(path.startswith(start), inner))
+    return F.coalesce(*found)
 
 
 _BAR = "\x1f"
@@ -111,21 +122,20 @@ def path_facts(path: Column) -> Column:
     rewrite however many facts are read from the array. A ``|`` in the path
     stands as ``_BAR`` in the array, where ``|`` separates the facts.
     """
-    path = F.translate(path, "|", _BAR)
+    # Named by every rule, so it must be cheap: replace leaves a text without bars alone.
+    path = F.replace(path, F.lit("|"), F.lit(_BAR))
     root = F.try_element_at(F.split(path, "/", 3), F.lit(2))
-    known = F.lit("||")
-    for pattern, value in reversed(ROOT_RULES):
-        known = F.when(_fits(path, pattern), F.lit(value)).otherwise(known)
-    # known is |stream|layout; facts are collection|stream|job|launch|layout|kind|recognised.
-    facts = F.concat(F.coalesce(root, F.lit("")), F.substring_index(known, "|", 2), F.lit("|||"), F.substring_index(known, "|", -1), F.lit("|unknown|false"))
-    for pattern, template in reversed(LAYOUT_RULES):
-        facts = F.when(_fits(path, pattern), F.regexp_replace(path, pattern, template + "|true")).otherwise(facts)
+    # A root's value is |stream|layout; facts are collection|stream|job|launch|layout|kind|recognised.
+    known = [(pattern, F.lit("|{1}|||{2}|unknown|false".format(*value.split("|")))) for pattern, value in ROOT_RULES]
+    unknown = F.concat(F.coalesce(root, F.lit("")), F.coalesce(_first_fit(path, known), F.lit("|||||unknown|false")))
+    whole = [(pattern, F.regexp_replace(path, pattern, template + "|true")) for pattern, template in LAYOUT_RULES]
+    facts = F.coalesce(_first_fit(path, whole), unknown)
     return F.split(facts, r"\|", -1)
 
 
 def facts_struct(facts: Column, path: Column) -> Column:
     """Struct of the facts with name and extension; kind not refined yet."""
-    f = {name: F.nullif(F.translate(facts[i], _BAR, "|"), F.lit("")) for i, name in enumerate(FACTS)}
+    f = {name: F.nullif(F.replace(facts[i], F.lit(_BAR), F.lit("|")), F.lit("")) for i, name in enumerate(FACTS)}
     return F.struct(
         (facts[FACTS.index("recognised")] == "true").alias("recognised"),
         *[f[name].alias(name) for name in ("collection", "stream", "job", "launch", "layout")],
