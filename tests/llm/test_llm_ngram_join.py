@@ -94,3 +94,15 @@ def test_one_per_component(spark):
     assert kept.columns == docs(spark, []).columns
     assert sorted((r.doc_id, str(r.text)) for r in kept.collect()) == [
         (1, "A B C D E F"), (2, "x y"), (4, "None"), (4, "None"), (5, "")]
+
+
+def test_members_of_a_family_that_cannot_link_make_no_pairs(spark):
+    # 40 sets of 146 shingles, 20 of their own each: n - a = 16, so the first common shingle may lie no later.
+    rows = [((40, 1, 2), g, 146, 20, g, 1) for g in range(40)]
+    # Two that may link, by two lists of 6 and 4 shingles; and one pair with too few of them.
+    rows += [((2, 5, 6), g, 146, 16, g, 6) for g in (50, 51)] + [((2, 7, 8), g, 146, 18, g, 4) for g in (50, 51)]
+    rows += [((2, 9, 9), g, 146, 16, g, 9) for g in (60, 61)]
+    left = spark.createDataFrame(rows, "same struct<held:long,h0:long,h1:long>, grp long, n long, pos long, label long, weight long")
+    met = J._met(left)
+    assert sorted((r.g, r.h) for r in met.collect()) == [(50, 51), (60, 61)]
+    assert [(r.g, r.h) for r in J._sharing(met.distinct(), left).collect()] == [(50, 51)]

@@ -17,6 +17,9 @@ different components are tried after that, so a large family of near copies
 costs one comparison per member while no link between components is lost. Lists
 that hold the same groups are merged into one with a weight and, for each group,
 its earliest place in them, which can only let more pairs through to verification.
+A pair is named only where its first common shingle may be, at most n - a places
+into one set and m - a into the other; how many lists it shares is then counted on
+the lists of the two groups, so pairs that share too few make no row.
 
 Frequent shingles only steer the order, never the result: pairs that share no
 more than a common passage then have no prefix shingle in common. They are
@@ -48,6 +51,8 @@ _COUNT_BLOCK = 1_000_000
 _MOST_FREQUENT = 1_000_000
 _BATCH_ROWS = 1_000
 _FREQUENT_FROM = 8
+#: Bits of a list's weight in its name; the rest is a hash.
+_WEIGHT_BITS = 18
 #: Bits of the filters that keep shingles and texts without any candidate out of the shuffles.
 _FILTER_BITS = 26
 
@@ -247,6 +252,35 @@ def _passes(n1: Column, p1: Column, n2: Column, p2: Column) -> Column:
         F.least(n1 - p1, n2 - p2) > needed - _common(n1, n2))
 
 
+def _met(left: DataFrame) -> DataFrame:
+    """(g, h, n, n2): pairs of groups from different components, by lists that may hold their first common shingle.
+
+    Nothing before that shingle is common, so the place of it leaves room for the whole overlap in both sets.
+    """
+    right = left.select("same", "grp", "n", "pos", "label").toDF("same", "grp2", "n2", "pos2", "label2")
+    n, n2 = F.col("n"), F.col("n2")
+    return (
+        left.join(right, "same").where("grp < grp2 AND label <> label2")
+        .where(5 * F.least(n, n2) >= 4 * F.greatest(n, n2))
+        .where(F.least(n - F.col("pos"), n2 - F.col("pos2")) >= _overlap(n, n2))
+        .select(F.col("grp").alias("g"), F.col("grp2").alias("h"), "n", "n2")
+    )
+
+
+def _sharing(pairs: DataFrame, left: DataFrame) -> DataFrame:
+    """The pairs (g, h) whose lists in common hold as many shingles as their sizes ask for."""
+    most = (1 << _WEIGHT_BITS) - 1
+    # All groups of a merged list have its weight, so equal lists have equal names.
+    name = F.shiftleft(F.xxhash64("same"), _WEIGHT_BITS).bitwiseOR(F.least("weight", F.lit(most)))
+    held = left.groupBy("grp").agg(F.collect_set(name).alias("lists"))  # no more than a prefix
+    shared = F.aggregate(
+        F.array_intersect("lists", "lists2"), F.lit(0).cast("long"), lambda total, x: total + x.bitwiseAND(F.lit(most)))
+    return (
+        pairs.join(held.toDF("g", "lists"), "g").join(held.toDF("h", "lists2"), "h")
+        .where(shared >= F.least(_common(F.col("n"), F.col("n2")), F.lit(most))).select("g", "h")
+    )
+
+
 def _frequent(survey: DataFrame) -> _Order:
     rows = (
         survey.where("shingle IS NOT NULL").groupBy("shingle").agg(F.sum("seen").alias("seen"))
@@ -345,25 +379,14 @@ def _jaccard_classes(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataF
              *[F.bit_xor(h).alias(f"h{i}") for i, h in enumerate(member)])
         .where("x <> y").select("shingle", F.struct("held", "h0", "h1").alias("same"))
     )
-    left = (
+    left = cut_lineage(
         open_lists.join(mixed, "shingle").groupBy("same", "grp", "n", "label")
         .agg(F.min("pos").alias("pos"), F.count("*").alias("weight"))
     )
-    # The first shingle that two linked groups share lies in both prefixes, so in one of these lists:
-    # a group shares no more with another than what follows its first place in them.
-    rooms = left.groupBy("grp").agg((F.max("n") - F.min("pos")).alias("room"))
-    left = cut_lineage(left.join(rooms, "grp").select("same", "grp", "n", "pos", "label", "room", "weight"))
-    right = left.drop("weight").toDF("same", "grp2", "n2", "pos2", "label2", "room2")
-    rest = cut_lineage(
-        left.join(right, "same").where("grp < grp2 AND label <> label2")
-        .where(_passes(F.col("n"), F.col("pos"), F.col("n2"), F.col("pos2")))
-        .where(F.least("room", "room2") >= _overlap(F.col("n"), F.col("n2")))
-        .groupBy(F.col("grp").alias("g"), F.col("grp2").alias("h"), "n", "n2")
-        .agg(F.sum("weight").alias("lists")).where(F.col("lists") >= _common(F.col("n"), F.col("n2"))).select("g", "h")
-        .join(star.select(F.least("g", "h").alias("g"), F.greatest("g", "h").alias("h"))
-              .join(several.toDF("g"), "g", "left_anti").join(several.toDF("h"), "h", "left_anti").distinct(),
-              ["g", "h"], "left_anti")
-    )
+    tried = (
+        star.select(F.least("g", "h").alias("g"), F.greatest("g", "h").alias("h"))
+        .join(several.toDF("g"), "g", "left_anti").join(several.toDF("h"), "h", "left_anti").distinct())
+    rest = cut_lineage(_sharing(_met(left).distinct().join(tried, ["g", "h"], "left_anti"), left))
     inner = members.join(several, "grp", "left_semi").select("grp", "cls").join(
         labels.toDF("cls", "label"), "cls", "left").select("grp", "cls", F.coalesce("label", "cls").alias("label"))
     within = inner.join(inner.toDF("grp", "cls2", "label2"), "grp").where("cls < cls2 AND label <> label2").select(
