@@ -112,3 +112,17 @@ def test_pairs_equal_brute_force(spark):
             if enough and len(held) < len(texts) and share >= (len(texts) / len(held)) ** 0.9 * (1 - 1e-12):
                 want.add((entity, w))
     assert got == want and want
+
+
+def test_terms_carry_a_number_for_their_text(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from warcloom.llm import pii
+
+    kept = []
+    monkeypatch.setattr(pii, "cut_lineage", lambda df, cut=pii.cut_lineage: kept.append(df.columns) or cut(df))
+    rows = spark.createDataFrame([(1, "mail a@b.cd of Zebedee here"), (2, "other words here")], "doc_id long, text string")
+    held = rows.withColumn("base", pii.base_spans(F.col("text"))).where(F.size("base") > 0)
+    found = {(r.entity, r.term) for r in pii.disclosing_terms(rows, held).collect()}
+    assert ("a@b.cd", "zebedee") in found and ("a@b.cd", "here") not in found
+    assert ["_key", "text", "most", "_id"] in kept

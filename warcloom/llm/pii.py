@@ -120,26 +120,30 @@ def disclosing_terms(docs: DataFrame, held: DataFrame, threshold: float = 0.9, s
     distance. Only support is counted in distinct texts.
     """
     documents = docs.count()
-    once = cut_lineage(
-        held.groupBy(F.sha2("text", 256).alias("_key"))
-        .agg(F.count("*").alias("copies"), F.first("text").alias("text"), F.first("base").alias("base")))
-    holds = once.select("_key", "copies", F.explode(F.array_distinct(F.transform("base", lambda s: s["value"]))).alias("entity"))
+    texts = held.groupBy(F.sha2("text", 256).alias("_key"))
+    entities_of = F.explode(F.array_distinct(F.transform("base", lambda s: s["value"]))).alias("entity")
+    holds = cut_lineage(texts.agg(F.count("*").alias("copies"), F.first("base").alias("base")).select("_key", "copies", entities_of))
     entities = holds.groupBy("entity").agg(F.sum("copies").alias("with_entity"), F.count("*").alias("texts"))
     holds = cut_lineage(holds.join(entities, "entity"))
 
+    # A pair is in at most with_entity documents, so no more frequent term can reach the threshold; a hair of slack for rounding.
+    most = F.pow(F.lit(float(documents)), F.lit(1 - threshold)) * F.pow("with_entity", F.lit(threshold)) * (1 + 1e-9)
+    # Terms are many: they carry a number for their text, and the most frequent term it can use.
+    once = cut_lineage(
+        texts.agg(F.first("text").alias("text")).join(holds.groupBy("_key").agg(F.max(most).alias("most")), "_key")
+        .withColumn("_id", F.monotonically_increasing_id()))
+    holds = holds.join(once.select("_key", "_id"), "_key").drop("_key")
+
     def words_of(text: Column) -> Column:
         return F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(_WORD), F.lit(0)))).alias("term")
 
     words = docs.select(words_of(F.col("text"))).where(F.length("term") >= 3).groupBy("term").agg(F.count("*").alias("with_term"))
-    # A pair is in at most with_entity documents, so no more frequent term can reach the threshold; a hair of slack for rounding.
-    most = F.pow(F.lit(float(documents)), F.lit(1 - threshold)) * F.pow("with_entity", F.lit(threshold)) * (1 + 1e-9)
     rare = (
-        once.select("_key", words_of(F.col("text"))).where(F.length("term") >= 3).join(words, "term")
-        .join(holds.groupBy("_key").agg(F.max("with_entity").alias("with_entity")), "_key").where(F.col("with_term") <= most)
-        .select("_key", "term", "with_term")
+        once.select("_id", "most", words_of(F.col("text"))).where(F.length("term") >= 3).join(words, "term")
+        .where("with_term <= most").select("_id", "term", "with_term")
     )
     pairs = (
-        rare.join(holds, "_key").where(F.col("with_term") <= most).groupBy("entity", "term", "with_entity", "with_term", "texts")
+        rare.join(holds, "_id").where(F.col("with_term") <= most).groupBy("entity", "term", "with_entity", "with_term", "texts")
         .agg(F.sum("copies").alias("with_both"), F.count("*").alias("ways"))
         .where(F.col("ways") >= F.least(F.lit(support), F.col("texts")))
     )
