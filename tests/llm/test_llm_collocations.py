@@ -116,3 +116,80 @@ def test_phrases_with_one_hash_are_counted_apart(monkeypatch):
         for row in batch.to_pylist():
             got[row["phrase"]] += row["f"]
     assert got == {"p": 6, "q": 4, "r": 2}
+
+
+def everywhere(spark, parts, phrases):
+    """Each phrase once in each of ``parts`` partitions, in a text of its own."""
+    text = ". ".join(f"a{j} b{j} c{j}" for j in range(phrases))
+    rows = [(f"{i}x. {text}. y{i}", "en") for i in range(parts)]
+    return rows, spark.createDataFrame(spark.sparkContext.parallelize(rows, parts), "text string, lang string")
+
+
+def test_a_phrase_is_not_sent_by_every_task(spark, monkeypatch, tmp_path):
+    """Rows with a phrase's words are as many as there are phrases, not phrases times tasks."""
+    made = str(tmp_path / "made")
+    frame = type(spark.range(0))
+    plain = frame.mapInArrow
+
+    def counted(self, fn, schema, *args, **options):
+        def run(batches):
+            for batch in fn(batches):
+                if "phrase" in batch.schema.names:
+                    with open(made, "a") as out:
+                        out.write("".join(f"{n}\n" for n in batch.column("words").to_pylist() if n > 1))
+                yield batch
+
+        return plain(self, run, schema, *args, **options)
+
+    monkeypatch.setattr(frame, "mapInArrow", counted)
+    rows, df = everywhere(spark, 16, 40)
+    found = Counter((r.phrase, r.f) for r in C.phrase_counts(df, 16)[0].collect())
+    assert found == Counter((w, 16) for j in range(40) for w in (f"a{j}", f"b{j}", f"c{j}", f"a{j} b{j}", f"b{j} c{j}", f"a{j} b{j} c{j}"))
+    with open(made) as lines:
+        assert 120 <= len(lines.readlines()) < 2 * 120
+
+
+@pytest.mark.parametrize("names", [1, 3, 64])
+def test_phrases_with_one_name_are_counted_by_their_words(spark, monkeypatch, names):
+    """All n-grams share a few 64-bit names; counts are exact nevertheless."""
+    frame = type(spark.range(0))
+    plain = frame.mapInArrow
+
+    def few(self, fn, schema, *args, **options):
+        def run(batches):
+            from warcloom.llm import collocations
+
+            kept = collocations._grams
+
+            def grams(block, n, family=0):
+                name = kept(block, n, family)
+                return name if family else collocations.mix64(name % np.uint64(names))
+
+            collocations._grams = grams
+            try:
+                yield from fn(batches)
+            finally:
+                collocations._grams = kept
+
+        return plain(self, run, schema, *args, **options)
+
+    monkeypatch.setattr(frame, "mapInArrow", few)
+    rows, df = everywhere(spark, 4, 6)
+    rows += [("a0 b0 c0 a1 b1", "de"), ("a0 b0 c0. a0 b0", "de"), ("c0 b0 a0", "en")]
+    df = df.union(spark.createDataFrame(rows[4:], "text string, lang string"))
+    for threshold in (2, 4):
+        want = brute(rows, threshold, 2000)
+        assert want and run(df, threshold=threshold) == want
+
+
+def test_false_positives_of_the_filters_are_dropped(spark):
+    """Bitmaps of 64 bits let nearly everything pass; infrequent phrases stay out, frequent ones stay exact."""
+    rows, df = everywhere(spark, 4, 30)
+    rows += [(f"r{i} s{i} t{i} a0", "en") for i in range(50)]
+    df = df.union(spark.createDataFrame(rows[4:], "text string, lang string"))
+    want = Counter()
+    for text, _ in rows:
+        for piece in text.split("."):
+            words = piece.split()
+            want.update(" ".join(words[i:i + n]) for n in range(1, 5) for i in range(len(words) - n + 1))
+    assert {r.phrase: r.f for r in C.phrase_counts(df, 4, filter_bits=6)[0].collect()} == {p: f for p, f in want.items() if f >= 4}

@@ -10,7 +10,13 @@ Phrases of two to four words are counted per language in passes over the texts:
    the threshold and every frequent n-gram survives. Tasks send what they have
    added up; the summaries of tasks are merged in the partition, in memory that
    does not depend on how many n-grams there are.
-3. A second pass counts the survivors exactly, by their words.
+3. The partition's rows, which hold each task's exact counts, are read a second
+   time and added up for the survivors and for what shares a filter slot with one.
+   A task sends a phrase's words only from texts of the smallest ``home`` (a hash of
+   the text) that the phrase has, so about one row per phrase, not one per task.
+4. 64-bit names may stand for two phrases. Each task adds up a second hash over all
+   occurrences, in a fixed number of buckets; where the sums differ from count times
+   hash of the phrases found, the bucket's phrases are counted by their words.
 
 A phrase is never more frequent than its parts, so leaving out n-grams with an
 infrequent part loses nothing. What is frequent reaches the tasks as bitmaps of
@@ -26,6 +32,8 @@ from __future__ import annotations
 
 import hashlib
 import re
+import tempfile
+import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
@@ -44,6 +52,12 @@ BLOCK_BYTES = 500_000
 _HELD = 500_000
 #: Counters that a hash partition's summary should need; there are as many partitions as that takes.
 _COUNTERS = 400_000
+#: Bytes of a partition's rows that a task keeps in memory; more go to its temporary folder.
+_ASIDE = 1 << 24
+#: Bits of a text's ``home``, which are sent in the low bits of a count.
+_HOME = 12
+#: Buckets of phrases whose second hashes are compared as sums.
+_BUCKETS = 1024
 
 _GAP = np.zeros(256, bool)
 _GAP[[0x20, 0x09]] = True
@@ -58,7 +72,7 @@ _BYTES = tuple(mix64(np.arange(1, 257, dtype=np.uint64) * seed) for seed in _SEE
 
 @dataclass
 class _Block:
-    """Words of some texts: places, hashes (one or two families), piece numbers, languages."""
+    """Words of some texts: places, hashes (one or two families), piece numbers, languages, homes of their texts."""
 
     data: bytes
     start: np.ndarray
@@ -66,6 +80,7 @@ class _Block:
     hashes: list[np.ndarray]
     piece: np.ndarray
     lang: np.ndarray
+    home: np.ndarray
     names: list[str]
 
     def phrase(self, first: int, n: int) -> str:
@@ -98,7 +113,7 @@ def _read(parts: list[tuple[bytes, str]], families: int) -> _Block:
     inside = np.flatnonzero(~(breaks | _GAP[data]))
     if not len(inside):
         none = np.zeros(0, np.int64)
-        return _Block(joined, none, none, [none.view(np.uint64)] * families, none, none, names)
+        return _Block(joined, none, none, [none.view(np.uint64)] * families, none, none, none.astype(np.int16), names)
     first = np.flatnonzero(np.diff(inside, prepend=-2) > 1)
     length = np.diff(first, append=len(inside))
     start = inside[first]
@@ -108,8 +123,9 @@ def _read(parts: list[tuple[bytes, str]], families: int) -> _Block:
     hashes = [mix64(np.add.reduceat(table[data[inside]] * weight, first) + length.astype(np.uint64)) for table in _BYTES[:families]]
     part_starts = np.cumsum([0] + [len(part) + 1 for part, _ in parts])[:-1]
     langs = np.array([number[lang] for _, lang in parts])
-    return _Block(
-        joined, start, start + length, hashes, np.cumsum(breaks)[start], langs[np.searchsorted(part_starts, start, "right") - 1], names)
+    homes = np.array([zlib.crc32(part) >> 32 - _HOME for part, _ in parts], np.int16)
+    part = np.searchsorted(part_starts, start, "right") - 1
+    return _Block(joined, start, start + length, hashes, np.cumsum(breaks)[start], langs[part], homes[part], names)
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], families: int = 1) -> Iterator[_Block]:
@@ -232,6 +248,7 @@ class _Counter:
 
 
 _COUNTED = "lang string, words int, phrase string, gram long, f long"
+_SENT = "gram long, seen long"
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -268,39 +285,45 @@ def _kept(block: _Block, lengths: tuple[int, ...], words: _Filter, pairs: _Filte
         yield n, at, _grams(block, n)[at]
 
 
-def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+def _summed(keys: list[np.ndarray], counts: list[np.ndarray], homes: list[np.ndarray] | None = None) -> tuple[np.ndarray, ...]:
+    """Each key once with the sum of its counts and, if given, its smallest home."""
     if not keys:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    key, count = np.concatenate(keys), np.concatenate(counts)
+        return (np.zeros(0, np.uint64),) + (np.zeros(0, np.int64),) * (1 if homes is None else 2)
+    key = np.concatenate(keys)
     order = np.argsort(key)
-    key, count = key[order], count[order]
+    key = key[order]
     first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.zeros(0, np.int64)
-    return key[first], (np.add.reduceat(count, first) if len(first) else count)
+    columns = [(np.add, counts)] + ([] if homes is None else [(np.minimum, homes)])
+    values = [(how, np.concatenate(column)[order]) for how, column in columns]
+    return key[first], *(how.reduceat(value, first) if len(first) else value for how, value in values)
 
 
 def _send(batches: Iterator[pa.RecordBatch], lengths: tuple[int, ...], words: _Filter, pairs: _Filter | None) -> Iterator[pa.RecordBatch]:
-    """(gram, seen) of a task's n-grams, added up; a task's own summary never overflows, so has no error."""
+    """(gram, seen) of a task's n-grams, added up: exact counts, the smallest home in the low bits."""
     keys: list[np.ndarray] = []
     counts: list[np.ndarray] = []
+    homes: list[np.ndarray] = []
     held = 0
 
     def out() -> Iterator[pa.RecordBatch]:
-        key, count = _summed(keys, counts)
+        key, count, home = _summed(keys, counts, homes)
+        seen = count << _HOME | home
         for i in range(0, len(key), 200_000):
-            yield pa.record_batch({"gram": pa.array(key[i:i + 200_000].view(np.int64)), "seen": pa.array(count[i:i + 200_000])})
+            yield pa.record_batch({"gram": pa.array(key[i:i + 200_000].view(np.int64)), "seen": pa.array(seen[i:i + 200_000])})
 
     for block in _blocks(batches):
-        for _, _, grams in _kept(block, lengths, words, pairs):
-            value, count = np.unique(grams, return_counts=True)
-            keys.append(value)
-            counts.append(count.astype(np.int64))
-            held += len(value)
+        for _, at, grams in _kept(block, lengths, words, pairs):
+            key, count, home = _summed([grams], [np.ones(len(grams), np.int64)], [block.home[at]])
+            keys.append(key)
+            counts.append(count)
+            homes.append(home)
+            held += len(key)
         if held > 4 * _HELD:
-            key, count = _summed(keys, counts)
-            keys, counts, held = [key], [count], len(key)
+            key, count, home = _summed(keys, counts, homes)
+            keys, counts, homes, held = [key], [count], [home], len(key)
             if held > 2 * _HELD:
                 yield from out()
-                keys, counts, held = [], [], 0
+                keys, counts, homes, held = [], [], [], 0
     yield from out()
 
 
@@ -343,31 +366,98 @@ class Summary:
         return self.keys[self.counts + self.error >= self.threshold]
 
 
-def _survivors(sent: DataFrame, mass: int, threshold: int) -> DataFrame:
-    """(gram) of the n-grams that may reach the threshold, from a summary per hash partition."""
+def _counted(sent: DataFrame, mass: int, threshold: int, filter_bits: int) -> DataFrame:
+    """(gram, f, home): exact counts and smallest homes of the n-grams that may reach the threshold.
+
+    A summary per hash partition names the candidates. The partition's rows are kept
+    aside, on the task's disk where they are many, and then added up where their
+    filter slot is a candidate's.
+    """
     session = sent.sparkSession
     partitions = max(int(session.conf.get("spark.sql.shuffle.partitions")), -(-mass // (threshold * _COUNTERS)))
     capacity = 2 * mass // (partitions * threshold) + 1
+    shift = 64 - filter_bits
 
-    def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         summary = Summary(capacity, threshold)
-        for batch in batches:
-            summary.add(batch.column("gram").to_numpy().view(np.uint64), batch.column("seen").to_numpy())
-        found = summary.survivors()
-        for i in range(0, len(found), 200_000):
-            yield pa.record_batch({"gram": pa.array(found[i:i + 200_000].view(np.int64))})
-
-    return sent.repartition(partitions, "gram").mapInArrow(summarise, "gram long")
+        with tempfile.SpooledTemporaryFile(_ASIDE) as aside:
+            for batch in batches:
+                grams, seen = batch.column("gram").to_numpy(), batch.column("seen").to_numpy()
+                summary.add(grams.view(np.uint64), seen >> _HOME)
+                aside.write(np.stack([grams, seen], axis=1).tobytes())
+            slots = np.unique(summary.survivors() >> np.uint64(shift))
+            aside.seek(0)
+            held: list[tuple[np.ndarray, ...]] = []
+            while len(slots) and (rows := aside.read(16 * _HELD)):
+                grams, seen = np.frombuffer(rows, np.int64).reshape(-1, 2).T
+                slot = grams.view(np.uint64) >> np.uint64(shift)
+                mine = slots[np.minimum(np.searchsorted(slots, slot), len(slots) - 1)] == slot
+                held.append((grams[mine].view(np.uint64), seen[mine] >> _HOME, seen[mine] & (1 << _HOME) - 1))
+                held = [_summed(*map(list, zip(*held, strict=True)))]
+        if held:
+            gram, f, home = held[0]
+            for i in range(0, len(gram), 200_000):
+                yield pa.record_batch({
+                    "gram": pa.array(gram[i:i + 200_000].view(np.int64)), "f": pa.array(f[i:i + 200_000]), "home": pa.array(home[i:i + 200_000])})
+
+    return sent.repartition(partitions, F.shiftrightunsigned("gram", shift)).mapInArrow(count, "gram long, f long, home long")
+
+
+def _passing(block: _Block, words: _Filter, pairs: _Filter, longer: _Filter) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(n, places, hashes, second hashes) of the n-grams that ``_counted`` has counted."""
+    for n, at, grams in _kept(block, tuple(range(2, LONGEST + 1)), words, pairs):
+        if n > 2:
+            passed = longer(grams)
+            at, grams = at[passed], grams[passed]
+        yield n, at, grams, _grams(block, n, 1)[at]
+
+
+def _bucket(grams: np.ndarray) -> np.ndarray:
+    return (grams & np.uint64(_BUCKETS - 1)).astype(np.int64)
+
+
+_NAMED = "lang string, words int, phrase string, gram long, mark long"
+
+
+def _name(batches: Iterator[pa.RecordBatch], words: _Filter, pairs: _Filter, longer: _Filter, homes: _Filter) -> Iterator[pa.RecordBatch]:
+    """Phrases from the texts of their homes, and per bucket one row without a phrase: the sum of all occurrences' marks."""
+    told: set[int] = set()
+    rows: list[tuple[str | None, int, str | None, int, int]] = []
+    sums = np.zeros(_BUCKETS, np.int64)
+
+    def out() -> pa.RecordBatch:
+        types = (pa.string(), pa.int32(), pa.string(), pa.int64(), pa.int64())
+        columns = zip(*rows, strict=True) if rows else [()] * len(types)
+        return pa.record_batch(
+            [pa.array(column, kind) for column, kind in zip(columns, types, strict=True)], ["lang", "words", "phrase", "gram", "mark"])
 
-
-def _count_survivors(batches: Iterator[pa.RecordBatch], words: _Filter, pairs: _Filter, longer: _Filter) -> Iterator[pa.RecordBatch]:
+    for block in _blocks(batches, 2):
+        for n, at, grams, checks in _passing(block, words, pairs, longer):
+            marks = (checks >> np.uint64(32)).astype(np.int64)
+            np.add.at(sums, _bucket(grams), marks)
+            mine = np.flatnonzero(homes(grams ^ block.home[at].astype(np.uint64) << np.uint64(64 - _HOME)))
+            values, first = np.unique(grams[mine], return_index=True)
+            places = at[mine[first]].tolist()
+            for gram, i, mark in zip(values.view(np.int64).tolist(), places, marks[mine[first]].tolist(), strict=True):
+                if gram not in told:
+                    told.add(gram)
+                    rows.append((block.names[block.lang[i]], n, block.phrase(i, n), gram, mark))
+        if len(rows) > 50_000:
+            yield out()
+            rows = []
+        if len(told) > _HELD:
+            told.clear()
+    rows += [(None, 0, None, i, int(sums[i])) for i in np.flatnonzero(sums).tolist()]
+    yield out()
+
+
+def _count_again(batches: Iterator[pa.RecordBatch], words: _Filter, pairs: _Filter, longer: _Filter, buckets: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Phrases of some buckets, counted by their words."""
     counter = _Counter()
     for block in _blocks(batches, 2):
-        for n, at, grams in _kept(block, tuple(range(2, LONGEST + 1)), words, pairs):
-            if n > 2:
-                passed = longer(grams)
-                at, grams = at[passed], grams[passed]
-            counter.add(block, n, at, grams, _grams(block, n, 1)[at])
+        for n, at, grams, checks in _passing(block, words, pairs, longer):
+            wanted = buckets[_bucket(grams)]
+            counter.add(block, n, at[wanted], grams[wanted], checks[wanted])
         if len(counter) > _HELD:
             yield from counter.rows()
     yield from counter.rows()
@@ -391,10 +481,28 @@ def phrase_counts(docs: DataFrame, threshold: int = 30, text_col: str = "text",
     # A text has fewer pairs than words, and so on; this bounds the mass of the summaries.
     mass = int(totals.agg(F.sum("n")).first()[0] or 0)
     words = _filter(singles, filter_bits)
-    pairs = _filter(_survivors(over(lambda it: _send(it, (2,), words, None), "gram long, seen long"), mass, threshold), filter_bits)
-    longer = _filter(
-        _survivors(over(lambda it: _send(it, (3, 4), words, pairs), "gram long, seen long"), 2 * mass, threshold), filter_bits)
-    phrases = added(over(lambda it: _count_survivors(it, words, pairs, longer), _COUNTED)).where(F.col("f") >= threshold)
+    two = cut_lineage(_counted(over(lambda it: _send(it, (2,), words, None), _SENT), mass, threshold, filter_bits))
+    pairs = _filter(two, filter_bits)
+    more = cut_lineage(_counted(over(lambda it: _send(it, (3, 4), words, pairs), _SENT), 2 * mass, threshold, filter_bits))
+    longer = _filter(more, filter_bits)
+    found = two.union(more)
+    homes = _filter(found.select(F.expr(f"gram ^ shiftleft(home, {64 - _HOME})").alias("gram")), filter_bits)
+    mark = F.col("mark").cast("decimal(38,0)")
+    named = cut_lineage(
+        over(lambda it: _name(it, words, pairs, longer, homes), _NAMED)
+        .groupBy("lang", "words", "phrase", "gram").agg(F.max("mark").alias("mark"), F.sum(mark).alias("total")))
+    bucket = F.col("gram").bitwiseAND(_BUCKETS - 1)
+    phrases = named.where("phrase IS NOT NULL").join(found.select("gram", "f"), "gram").withColumn("bucket", bucket)
+    expected = phrases.groupBy("bucket").agg(F.sum(F.col("f") * mark).alias("expected"))
+    sums = named.where("phrase IS NULL").select(F.col("gram").alias("bucket"), "total")
+    differ = sums.join(expected, "bucket", "full").where(~F.col("total").eqNullSafe(F.col("expected"))).select("bucket").toPandas()
+    phrases = phrases.select("lang", "words", "phrase", "f", "gram", "bucket")
+    if len(differ):
+        again = np.zeros(_BUCKETS, bool)
+        again[differ["bucket"].to_numpy(np.int64)] = True
+        phrases = phrases.where(~F.col("bucket").isin(np.flatnonzero(again).tolist())).drop("bucket").union(
+            added(over(lambda it: _count_again(it, words, pairs, longer, again), _COUNTED)))
+    phrases = phrases.select("lang", "words", "phrase", "f", "gram").where(F.col("f") >= threshold)
     return cut_lineage(singles.union(phrases).select("lang", "words", "phrase", "f")), totals
 
 
