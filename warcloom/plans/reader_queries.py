@@ -87,13 +87,19 @@ SELECT o_orderkey * 1000 AS id, CAST(NULL AS BIGINT) AS parent_id, 0 AS depth, o
 UNION ALL SELECT id + k, id + k - 1, 1 + k, 'level ' || k FROM lines, range(1, 6) AS levels(k)""")
 def src_9_tree(spark, sf):
     """Trees of seven levels: an order, its lines, and a chain below each line."""
-    line = F.col("l_orderkey") * 1000 + F.col("l_linenumber") * 10
-    below = F.array()
-    for k in range(5, 0, -1):
-        below = F.array(F.struct((line + k).alias("id"), F.lit(f"level {k}").alias("name"), below.alias("children")))
-    lines = fx.table(spark, sf, "lineitem").groupBy("l_orderkey").agg(
-        F.collect_list(F.struct(line.alias("id"), F.col("l_suppkey").cast("string").alias("name"), below.alias("children"))).alias("children"))
-    orders = fx.table(spark, sf, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    def node(line):
+        number = F.col("l_orderkey") * 1000 + line["l_linenumber"] * 10
+        below = F.array()
+        for k in range(5, 0, -1):
+            below = F.array(F.struct((number + k).alias("id"), F.lit(f"level {k}").alias("name"), below.alias("children")))
+        return F.struct(number.alias("id"), line["l_suppkey"].cast("string").alias("name"), below.alias("children"))
+
+    # Rows are dealt as they are in the tables; trees are made where they are read.
+    tasks = fx.tasks_for(spark, sf, "lineitem")
+    lines = fx.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_suppkey").repartition(tasks, "l_orderkey").groupBy("l_orderkey").agg(
+        F.collect_list(F.struct("l_linenumber", "l_suppkey")).alias("lines"))
+    orders = fx.table(spark, sf, "orders").select("o_orderkey", "o_orderpriority").repartition(tasks, "o_orderkey")
+    orders = orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left").withColumn("children", F.transform("lines", node))
     trees = orders.select(F.to_json(F.struct((F.col("o_orderkey") * 1000).alias("id"), F.col("o_orderpriority").alias("name"), "children")).alias("tree"))
     return curation.flatten_tree(trees, "id long, name string").select("id", "parent_id", "depth", "name")
 
